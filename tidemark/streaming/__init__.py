@@ -1,0 +1,2 @@
+"""Intentionally empty: the workload is batch only, "watermark" here always
+means a high-water mark column and never event-time watermarking."""
