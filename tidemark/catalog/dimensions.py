@@ -36,6 +36,7 @@ from tidemark.operators.scd2 import (
     scd2_changes,
     scd2_source,
 )
+from tidemark.staging import stage
 
 KEYS, WATERMARK, TRACK = ["o_custkey"], "o_orderdate", ["o_orderstatus", "o_orderpriority"]
 THIRD_AT = datetime(2024, 2, 3, 3, 0, 0)
@@ -104,7 +105,9 @@ RETURNED = f"{DELETED}, {SOURCE_3}, {_next_sql('d3', 'd2', 's3', THIRD_AT, 'b3')
 # --- builds -----------------------------------------------------------------
 
 def _build(dim: DataFrame | None, raw: DataFrame, at: datetime, batch: str) -> DataFrame:
-    return build_scd2(dim, raw, KEYS, WATERMARK, at, TRACK, batch, md5_slice)
+    """One build; the dimension it starts from is a written table, as in a run."""
+    stored = None if dim is None else stage(dim, "dimension")
+    return build_scd2(stored, raw, KEYS, WATERMARK, at, TRACK, batch, md5_slice)
 
 
 def _one(spark: SparkSession, folder: str) -> DataFrame:
@@ -191,7 +194,8 @@ def scd2_fact_lookup(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_custkey").alias("fact_custkey"),
         F.col("o_orderdate").alias("fact_date"),
     )
-    found = fact_lookup(fact, _three(spark, folder), [("fact_custkey", "o_custkey")], "fact_date")
+    dim = stage(_three(spark, folder), "dimension")
+    found = fact_lookup(fact, dim, [("fact_custkey", "o_custkey")], "fact_date")
     return found.select(
         "fact_orderkey",
         "fact_custkey",
@@ -228,7 +232,7 @@ def scd2_fact_lookup_long(spark: SparkSession, folder: str) -> DataFrame:
             "top_value",
         )
     )
-    found = fact_lookup(events, dim, [("user_id", "dim_user")], "ts", how="left")
+    found = fact_lookup(events, stage(dim, "dimension"), [("user_id", "dim_user")], "ts", how="left")
     return found.select("event_id", "user_id", "ts", "events_before", "top_value")
 
 

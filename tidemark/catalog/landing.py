@@ -81,7 +81,7 @@ def dump_read(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "dump")
     write_dump(documents, path)
     schema = T.StructType([T.StructField(f.name.upper(), f.dataType) for f in documents.schema.fields])
-    return read_dump(spark, path, schema, pattern="*.txt.gz")
+    return read_dump(spark, path, schema, pattern="*.txt")
 
 
 @query(

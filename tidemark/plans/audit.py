@@ -1,82 +1,69 @@
-"""The run log and the watermark state, both append-only parquet."""
+"""The run log, an append-only parquet table."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
 from datetime import datetime
-from decimal import Decimal
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.layers import NTZ, RUN_LOG_SCHEMA
+from tidemark.functions import typed
+from tidemark.layers import RUN_LOG_SCHEMA
 from tidemark.operators.dedupe import latest_per_key
+from tidemark.spec import TableSpec
 
 ERROR_LENGTH = 4000
 
-STATE_SCHEMA = T.StructType(
-    [
-        T.StructField("SOURCE_DB", T.StringType()),
-        T.StructField("SOURCE_TABLE", T.StringType()),
-        T.StructField("LAST_LOADED_AT", T.StringType()),
-        T.StructField("LAST_RUN_STATUS", T.StringType()),
-        T.StructField("RECORDED_AT", NTZ),
-    ]
-)
-
-
 class AuditLog:
-    """``META`` tables under ``base``."""
+    """The run log at ``base/META/RUN_LOG``, one row per table and run.
+
+    It also holds the watermark state: the newest successful load of a table
+    says where its next window starts.
+    """
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
-        self.log_path = f"{base.rstrip('/')}/META/RUN_LOG"
-        self.state_path = f"{base.rstrip('/')}/META/WATERMARK"
-
-    def _append(self, rows: Sequence[tuple], schema: T.StructType, path: str) -> None:
-        self.spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(path)
-
-    def _read(self, path: str, schema: T.StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException:  # nothing written yet
-            return self.spark.createDataFrame([], schema)
+        self.path = f"{base.rstrip('/')}/META/RUN_LOG"
 
     def write(self, record: dict, inserted_at: datetime) -> None:
         """Append one run; keys are RUN_LOG columns, missing ones are NULL."""
         row = {**record, "RUN_ID": uuid.uuid4().hex, "INSERTED_AT": inserted_at}
         if row.get("ERROR_MESSAGE") is not None:
             row["ERROR_MESSAGE"] = str(row["ERROR_MESSAGE"])[:ERROR_LENGTH]
-        if row.get("DURATION_SEC") is not None:
-            row["DURATION_SEC"] = Decimal(str(row["DURATION_SEC"])).quantize(Decimal("0.01"))
-        self._append([tuple(row.get(f.name) for f in RUN_LOG_SCHEMA.fields)], RUN_LOG_SCHEMA, self.log_path)
+        # A one-row range with literals stays in the JVM.
+        line = self.spark.range(0, 1, 1, 1).select(
+            *[typed(row.get(f.name), f.dataType).alias(f.name) for f in RUN_LOG_SCHEMA.fields]
+        )
+        line.write.mode("append").parquet(self.path)
 
     def log(self) -> DataFrame:
-        return self._read(self.log_path, RUN_LOG_SCHEMA)
-
-    def record_watermark(
-        self, source_db: str, source_table: str, watermark: str | None, status: str, at: datetime
-    ) -> None:
-        self._append([(source_db, source_table, watermark, status, at)], STATE_SCHEMA, self.state_path)
+        try:
+            return self.spark.read.schema(RUN_LOG_SCHEMA).parquet(self.path)
+        except AnalysisException:  # nothing written yet
+            return self.spark.createDataFrame([], RUN_LOG_SCHEMA)
 
     def watermarks(self) -> DataFrame:
-        """Newest non-NULL watermark per table."""
-        known = self._read(self.state_path, STATE_SCHEMA).where(F.col("LAST_LOADED_AT").isNotNull())
-        return latest_per_key(known, ["SOURCE_DB", "SOURCE_TABLE"], "RECORDED_AT")
+        """Newest stored watermark per table."""
+        loads = self.log().where(
+            (F.col("STATUS") == "success")
+            & F.col("LOAD_TYPE").isin("full", "incremental")
+            & F.col("WATERMARK_TO").isNotNull()
+        )
+        newest = latest_per_key(
+            loads, ["SOURCE_DB", "SOURCE_TABLE", "TARGET_TABLE"], "INSERTED_AT", tiebreak=["RUN_ID"]
+        )
+        return newest.select("SOURCE_DB", "SOURCE_TABLE", "TARGET_TABLE", "WATERMARK_TO")
 
-    def watermark(self, source_db: str, source_table: str) -> str | None:
+    def watermark(self, spec: TableSpec) -> str | None:
         row = (
-            self._read(self.state_path, STATE_SCHEMA)
+            self.watermarks()
             .where(
-                (F.col("SOURCE_DB") == source_db)
-                & (F.col("SOURCE_TABLE") == source_table)
-                & F.col("LAST_LOADED_AT").isNotNull()
+                (F.col("SOURCE_DB") == spec.source_db)
+                & (F.col("SOURCE_TABLE") == spec.source_table)
+                & (F.col("TARGET_TABLE") == spec.target_table)
             )
-            .orderBy(F.desc("RECORDED_AT"))
-            .limit(1)
-            .collect()
+            .first()
         )
-        return row[0]["LAST_LOADED_AT"] if row else None
+        return row["WATERMARK_TO"] if row else None

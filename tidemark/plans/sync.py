@@ -37,7 +37,7 @@ Source = Callable[[TableSpec], DataFrame]
 
 
 def wall_clock() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
+    return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
 @dataclass
@@ -191,7 +191,7 @@ class Sync:
     # -- load ---------------------------------------------------------------
 
     def _load(self, spec: TableSpec, batch: str, force_full: bool) -> dict:
-        last = self.audit.watermark(spec.source_db, spec.source_table) or spec.last_loaded_at
+        last = self.audit.watermark(spec) or spec.last_loaded_at
         seeded = self.store.version(spec, RAW) is not None
         full = force_full or spec.load_type == FULL or last is None or not seeded
         record = self._record(spec, batch, "full" if full else "incremental", "snapshot" if full else "window")
@@ -219,7 +219,6 @@ class Sync:
                 rec["ROWS_EXTRACTED"] = landed.count()
                 if rec["ROWS_EXTRACTED"] == 0:
                     rec["STATUS"] = SKIPPED
-                    self.audit.record_watermark(spec.source_db, spec.source_table, None, SKIPPED, as_of)
                     return
                 rec["FAILED_STEP"] = "merge"
                 if not spec.keys:
@@ -233,16 +232,10 @@ class Sync:
             rec["FAILED_STEP"] = "build_target"
             rec["ROWS_SILVER"] = self._build_target(spec, as_of, batch, touched, snapshot=full)
             rec["FAILED_STEP"] = "watermark"
-            newest = self._newest_watermark(spec, touched, None if full else last)
-            if newest is not None:
-                rec["WATERMARK_TO"] = newest
-            self.audit.record_watermark(spec.source_db, spec.source_table, newest, SUCCESS, as_of)
+            rec["WATERMARK_TO"] = self._newest_watermark(spec, touched, None if full else last)
             rec["STATUS"] = SUCCESS
 
-        done = self._guarded(record, steps)
-        if done["STATUS"] == FAILED:
-            self.audit.record_watermark(spec.source_db, spec.source_table, None, FAILED, self.clock())
-        return done
+        return self._guarded(record, steps)
 
     def _absorb_drift(self, spec: TableSpec, source: T.StructType) -> Drift:
         """Add new source columns to RAW and the target; existing rows read NULL."""

@@ -15,31 +15,39 @@ from tidemark.layers import conform
 
 PATTERN = "*.tsv.zst"
 NULL_FIELD = r"\N"
+NUL = "\0"
 
 # The escape letters of the dump dialect and what they stand for.
 ESCAPES = {"0": "\0", "b": "\b", "n": "\n", "r": "\r", "t": "\t", "Z": "\x1a"}
 
 
 def _decode(field: Column) -> Column:
-    """Undo the escapes of one field in a single left-to-right reading.
+    """Undo the escapes of one field.
 
-    Splitting on the escaped backslash first leaves pieces in which every
-    backslash starts a different escape, so no replacement can see the output of
-    another.
+    A dump escapes NUL characters, so in a field without any, NUL can stand for an
+    escaped backslash while the other escapes are replaced: plain string
+    replacement, compiled.  The few fields that do hold a NUL are split on the
+    escaped backslash instead, which leaves pieces no replacement can confuse.
     """
-    def piece(text: Column) -> Column:
-        for letter, char in ESCAPES.items():
-            text = F.replace(text, F.lit("\\" + letter), F.lit(char))
-        return F.regexp_replace(text, r"\\(.)", "$1")
-
-    decoded = F.array_join(F.transform(F.split(field, r"\\\\"), piece), "\\")
+    quick = _unescape(F.replace(field, F.lit("\\\\"), F.lit(NUL)), [c for c in ESCAPES if c != "0"])
+    quick = F.replace(quick, F.lit(NUL), F.lit("\\"))
+    split = F.array_join(F.transform(F.split(field, r"\\\\"), lambda piece: _unescape(piece, list(ESCAPES))), "\\")
+    has_nul = F.contains(field, F.lit("\\0")) | F.contains(field, F.lit(NUL))
     return (
-        F.when(field == NULL_FIELD, F.lit(None).cast("string"))
-        .when(F.contains(field, F.lit("\\")), decoded)
-        .otherwise(field)
+        F.when(~F.contains(field, F.lit("\\")), field)
+        .when(field == NULL_FIELD, F.lit(None).cast("string"))
+        .when(has_nul, split)
+        .otherwise(quick)
     )
 
 
+def _unescape(text: Column, letters: list[str]) -> Column:
+    """Replace the given escapes; a backslash before any other character just goes."""
+    for letter in letters:
+        text = F.replace(text, F.lit("\\" + letter), F.lit(ESCAPES[letter]))
+    return F.when(F.contains(text, F.lit("\\")), F.regexp_replace(text, r"(?s)\\(.)", "$1")).otherwise(text)
+
+
 def _encode(col: Column) -> Column:
     text = F.replace(col, F.lit("\\"), F.lit("\\\\"))
     for letter, char in ESCAPES.items():
@@ -79,10 +87,11 @@ def read_dump(
     return conform(text, schema)
 
 
-def write_dump(df: DataFrame, path: str, compression: str = "gzip") -> None:
+def write_dump(df: DataFrame, path: str, compression: str = "none") -> None:
     """Write ``df`` in the dump dialect, one line per row.
 
-    Spark reads zstd text but has no built-in codec to write it.
+    Spark reads zstd text but has no built-in codec to write it.  Uncompressed
+    files can be split by the reader, compressed ones cannot.
     """
     cells = [_encode(F.col(f"`{c}`").cast("string")) for c in df.columns]
     line = F.concat_ws("\t", *cells).alias("value")
