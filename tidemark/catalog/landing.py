@@ -129,7 +129,7 @@ WHERE rn = 1"""
 )
 def delta_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     """One row per composite key, newest first, ties settled by the other columns."""
-    return latest_per_key(money(table(spark, folder, "lineitem")), ["l_orderkey", "l_linenumber"], "l_shipdate")
+    return money(latest_per_key(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate"))
 
 
 @query(

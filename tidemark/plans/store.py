@@ -168,9 +168,9 @@ class TableStore:
         keep: Callable[[Piece], bool] = lambda piece: False,
         part: Column | None = None,
         notes: dict | None = None,
-        columns: T.StructType | None = None,
-    ) -> int:
-        """Write ``df`` as the next version and return the number of rows written.
+        count: bool = True,
+    ) -> int | None:
+        """Write ``df`` as the next version; with ``count`` return the rows written.
 
         ``keep`` selects the directories of the previous version that stay.  With
         several buckets the rows are rebalanced by bucket: adaptive execution then
@@ -181,7 +181,6 @@ class TableStore:
             raise ValueError(f"{spec.label}: bucket count changed; run a full load first")
         number = 1 if before is None else before.number + 1
         segment = f"{number:08d}-{uuid.uuid4().hex[:8]}"
-        schema = columns or df.schema
         out = df.withColumns({"_part": F.lit(ALL) if part is None else part, "_bucket": bucket_of(spec)})
         if spec.keys and spec.buckets > 1:
             out = out.hint("rebalance", F.col("_part"), F.col("_bucket"))
@@ -200,8 +199,10 @@ class TableStore:
         kept = [p for p in before.pieces if keep(p)] if before is not None else []
         carried = {**(before.notes if before is not None else {}), **(notes or {})}
         self._publish(
-            spec, layer, Version(number, T.StructType(schema.fields), (*kept, *written), spec.buckets, carried)
+            spec, layer, Version(number, T.StructType(df.schema.fields), (*kept, *written), spec.buckets, carried)
         )
+        if not count:
+            return None
         if not written:
             return 0
         # Counting a column-free scan reads parquet footers only.

@@ -228,7 +228,7 @@ class Sync:
                 touched = touched_buckets(delta, spec)
                 raw = self.store.read(spec, RAW, buckets=touched)
                 merged = upsert_raw(raw, delta, spec.keys, as_of, batch, revive=self.revive)
-                self.store.commit(spec, RAW, merged, keep=_outside(touched))
+                self.store.commit(spec, RAW, merged, keep=_outside(touched), count=False)
             rec["FAILED_STEP"] = "build_target"
             rec["ROWS_SILVER"] = self._build_target(spec, as_of, batch, touched, snapshot=full)
             rec["FAILED_STEP"] = "watermark"
@@ -299,6 +299,7 @@ class Sync:
             keep=lambda piece: piece.part == CLOSED or drop_current(piece),
             part=F.when(F.col("IS_CURRENT"), F.lit(CURRENT)).otherwise(F.lit(CLOSED)),
             notes={"max_key": base + sizes.get(NEW, 0)},
+            count=False,
         )
         return sizes.get(NEW, 0) + sizes.get(CLOSED_OP, 0)
 
@@ -337,9 +338,8 @@ class Sync:
                 touched = touched_buckets(missing, spec)
                 part = self.store.read(spec, RAW, buckets=touched)
                 rec["ROWS_RAW"] = count_hits(part, missing, spec.keys)
-                self.store.commit(
-                    spec, RAW, soft_delete(part, missing, spec.keys, as_of), keep=_outside(touched)
-                )
+                flagged = soft_delete(part, missing, spec.keys, as_of)
+                self.store.commit(spec, RAW, flagged, keep=_outside(touched), count=False)
                 rec["FAILED_STEP"] = "build_target"
                 rec["ROWS_SILVER"] = self._build_target(spec, as_of, batch, touched, snapshot=False)
             rec["STATUS"] = SUCCESS
