@@ -264,7 +264,7 @@ def fact_lookup(
 
     def seconds(col: Column) -> Column:
         # Built from date parts: a cast to an instant is not monotonic around clock changes.
-        day = F.unix_date(F.to_date(col))
+        day = F.unix_date(F.to_date(col)).cast("long")
         return day * 86_400 + F.hour(col) * 3_600 + F.minute(col) * 60 + F.second(col)
 
     width = F.greatest(F.ceil((seconds(F.col("_last")) - seconds(F.col("_first"))) * 4 / F.col("_n")), F.lit(1))
