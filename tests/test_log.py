@@ -104,7 +104,8 @@ def test_boards(spark):
 
 def test_layer_counts_strip_the_layer_suffix(frame):
     tables = frame(
-        [("X_RAW", "T", 5), ("X_SILVER", "T", 0), ("Y_RAW", "T", 5), ("Y_SILVER", "T", 4), ("Z_RAW", "T", 1), ("XRAW", "T", 1)],
+        [("X_RAW", "T", 5), ("X_SILVER", "T", 0), ("Y_RAW", "T", 5), ("Y_SILVER", "T", 4), ("Z_RAW", "T", 1), ("XRAW", "T", 1),
+         ("Y_RAW", "T_STAGE_TMP", 1), ("Y_SILVER", "T_STAGE_TMP", 1)],
         "table_schema string, table_name string, row_count long",
     )
     found = [tuple(r) for r in layer_counts(tables).collect()]

@@ -6,7 +6,7 @@ import pytest
 from conftest import rows, ts
 from pyspark.sql import functions as F
 
-from tidemark.operators.parity import count_board, parity_board
+from tidemark.operators.parity import count_board, layer_counts, parity_board
 from tidemark.plans.store import TableStore, touched_buckets
 from tidemark.plans.sync import RAW, Sync
 from tidemark.spec import INCREMENTAL, SCD2, SILVER, TableSpec
@@ -237,6 +237,8 @@ def test_validation_reports_the_failed_check(bench):
 def test_boards_over_specs(bench):
     bench.set([(1, "a", D[1]), (1, "b", D[2])])
     bench.run(SPEC)
+    counts = layer_counts(bench.sync.table_counts([SPEC]))
+    assert [tuple(r) for r in counts.collect()] == [("SHOP_RAW", "ITEM", 2, 1, 1, None)]
     never = SPEC.with_(source_table="never", target_table="NEVER")
     bench.set([(1, "a", D[1])], table="never")
     assert rows(count_board(bench.sync.board([SPEC])), "raw_rows", "target_rows", "match") == [(2, 1, "differs")]

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import second_text
 from tidemark.layers import with_audit
 from tidemark.sources.window import incremental_window
 
@@ -91,4 +92,4 @@ def flagged(df: DataFrame, deleted, deleted_at) -> DataFrame:
 
 def shown(dim: DataFrame) -> DataFrame:
     """A dimension with the open end date as text: year 9999 overflows many clients."""
-    return dim.withColumn("EFF_TO", F.date_format("EFF_TO", "yyyy-MM-dd HH:mm:ss"))
+    return dim.withColumn("EFF_TO", second_text(F.col("EFF_TO")))

@@ -217,7 +217,7 @@ FROM events e LEFT JOIN d ON d.dim_user = e.user_id AND e.ts >= d.eff_from AND e
 def scd2_fact_lookup_long(spark: SparkSession, folder: str) -> DataFrame:
     """A dimension with one version per user and day; the facts keep their unmatched rows."""
     events = table(spark, folder, "events")
-    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    day = F.to_date("ts").cast("timestamp_ntz")
     dim = (
         events.groupBy(F.col("user_id").alias("dim_user"), day.alias("day"))
         .agg(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import LOG_AS_OF, orders, query, table
+from tidemark.functions import second_text
 from tidemark.layers import RUN_LOG_SCHEMA, conform
 from tidemark.operators import monitor
 
@@ -31,7 +32,6 @@ AS_OF_SQL = f"timestamp '{LOG_AS_OF}'"
 def run_log(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
     kind, user = F.col("event_type"), F.col("user_id")
-    second = "yyyy-MM-dd HH:mm:ss"
     rows = F.get_json_object("props", "$.k").cast("long")
 
     def by_kind(default: str, **values: str):
@@ -43,7 +43,7 @@ def run_log(spark: SparkSession, folder: str) -> DataFrame:
     return conform(
         events.select(
             F.concat(F.lit("R"), F.lpad(F.col("event_id").cast("string"), 12, "0")).alias("RUN_ID"),
-            F.date_format("ts", "'B'yyyyMMdd").alias("BATCH_ID"),
+            F.concat(F.lit("B"), F.replace(F.to_date("ts").cast("string"), F.lit("-"), F.lit(""))).alias("BATCH_ID"),
             F.concat(F.lit("DB"), F.floor(user / 50).cast("string")).alias("SOURCE_DB"),
             F.concat(F.lit("t"), user.cast("string")).alias("SOURCE_TABLE"),
             F.concat(F.lit("T"), user.cast("string")).alias("TARGET_TABLE"),
@@ -51,8 +51,8 @@ def run_log(spark: SparkSession, folder: str) -> DataFrame:
             by_kind("window", signup="parity", click="snapshot").alias("ENGINE"),
             rows.alias("ROWS_EXTRACTED"),
             rows.alias("ROWS_RAW"),
-            F.date_format(F.date_trunc("day", "ts"), second).alias("WATERMARK_FROM"),
-            F.date_format("ts", second).alias("WATERMARK_TO"),
+            second_text(F.to_date("ts").cast("timestamp_ntz")).alias("WATERMARK_FROM"),
+            second_text(F.col("ts")).alias("WATERMARK_TO"),
             by_kind("success", error="failed", view="skipped", signup="mismatch").alias("STATUS"),
             F.when(kind == "error", F.concat(F.lit("engine said "), "props")).alias("ERROR_MESSAGE"),
             F.when((kind == "error") & (F.col("value") > 10), F.lit("merge")).alias("FAILED_STEP"),

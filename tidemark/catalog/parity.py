@@ -125,7 +125,7 @@ def parity_report_dimension(spark: SparkSession, folder: str) -> DataFrame:
     return parity_report(source, with_audit(source, LOADED_AT), two_batches(spark, folder), "o_orderdate", scd2=True)
 
 
-@query("SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS max_watermark FROM events")
+@query("SELECT cast(max(ts) AS varchar) AS max_watermark FROM events")
 def raw_max_watermark(spark: SparkSession, folder: str) -> DataFrame:
     """The value the next window starts from."""
     return max_watermark(with_audit(table(spark, folder, "events"), LOADED_AT), "ts")

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.catalog.base import ORDERS_CUT, orders, orders_until, query, table
+from tidemark.catalog.base import ORDERS_CUT, orders, orders_until, query, shown, table
 from tidemark.plans.store import TableStore
 from tidemark.plans.sync import RunResult, Sync
 from tidemark.spec import INCREMENTAL, SCD2, TableSpec
@@ -87,7 +87,7 @@ def sync_dimension(spark: SparkSession, folder: str) -> DataFrame:
     """A dimension with surrogate keys after the seed and one delta."""
     runner, _ = _two_loads(spark, folder, DIMENSION)
     dim = runner.target(DIMENSION).drop("ROW_HASH", "_LOAD_TS", "_BATCH_ID")
-    return dim.withColumn("EFF_TO", F.date_format("EFF_TO", "yyyy-MM-dd HH:mm:ss"))
+    return shown(dim)
 
 
 @query(

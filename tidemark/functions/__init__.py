@@ -5,7 +5,7 @@ from tidemark.functions.hashing import (
     md5_slice,
     row_hash,
 )
-from tidemark.functions.moments import change_time, ntz, typed
+from tidemark.functions.moments import change_time, ntz, second_text, typed
 
 __all__ = [
     "canonical_row",
@@ -15,5 +15,6 @@ __all__ = [
     "md5_slice",
     "ntz",
     "row_hash",
+    "second_text",
     "typed",
 ]

@@ -8,21 +8,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.moments import second_text
+
 # Both sides of a parity check must build the same row text.
 NULL_TEXT = "~N~"
 SEPARATOR = "~|~"
 HEX_DIGITS = 15
-SECOND = "yyyy-MM-dd HH:mm:ss"
-DAY = "yyyy-MM-dd"
 
 
 def canonical_text(field: T.StructField) -> Column:
     """Text of one column, equal on every engine holding the same value."""
     col, kind = F.col(f"`{field.name}`"), field.dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        text = F.date_format(col, SECOND)
-    elif isinstance(kind, T.DateType):
-        text = F.date_format(col, DAY)
+        text = second_text(col)
     elif isinstance(kind, T.BooleanType):
         text = col.cast("int").cast("string")
     elif isinstance(kind, (T.FloatType, T.DoubleType)):

@@ -26,6 +26,15 @@ def ntz(value: object) -> Column:
     return typed(value, T.TimestampNTZType())
 
 
+def second_text(col: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss``, fractions cut.
+
+    ``date_format`` would pass a wall-clock time through the session's zone, which
+    shifts the hour a clock change skips; the plain cast does not.
+    """
+    return F.substring(col.cast("string"), 1, 19)
+
+
 def change_time(df_schema: T.StructType, watermark: str | None, as_of: object) -> Column:
     """Event time of a row: its watermark when that reads as a timestamp, else ``as_of``."""
     if not watermark:

@@ -9,21 +9,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import fingerprint_columns
-from tidemark.functions.hashing import DAY, SECOND
+from tidemark.functions import fingerprint_columns, second_text
 from tidemark.layers import business_columns, is_deleted
 
 SILVER_LABEL, SCD2_LABEL = "SILVER", "SCD2 (current)"
+STAGING_SUFFIX = "_STAGE_TMP"
 
 
 def watermark_text(schema: T.StructType, watermark: str, precise: bool = False) -> Column:
     """``max(watermark)`` as text; to the second, or at full precision."""
     kind = schema[watermark].dataType
     top = F.max(F.col(watermark))
+    if precise:
+        return top.cast("string")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return top.cast("string") if precise else F.date_format(top, SECOND)
+        return second_text(top)
     if isinstance(kind, T.DateType):
-        return F.date_format(top, DAY if precise else SECOND)
+        return second_text(top.cast("timestamp_ntz"))
     return top.cast("string")
 
 
@@ -214,10 +216,12 @@ def layer_counts(tables: DataFrame) -> DataFrame:
     """RAW rows beside SILVER rows of the same table, flagging an empty SILVER.
 
     ``tables`` has one row per stored table: ``table_schema`` (``X_RAW`` or
-    ``X_SILVER``), ``table_name``, ``row_count``.
+    ``X_SILVER``), ``table_name``, ``row_count``.  Staging tables do not count.
     """
+    named = tables.where(~F.col("table_name").endswith(STAGING_SUFFIX))
+
     def side(suffix: str, rows: str) -> DataFrame:
-        return tables.where(F.col("table_schema").endswith(suffix)).select(
+        return named.where(F.col("table_schema").endswith(suffix)).select(
             F.expr(f"left(table_schema, length(table_schema) - {len(suffix)})").alias("_base"),
             F.col("table_schema").alias(f"_schema{suffix}"),
             "table_name",

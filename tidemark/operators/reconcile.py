@@ -24,17 +24,18 @@ def missing_keys(raw: DataFrame, source: DataFrame, keys: Sequence[str]) -> Data
     """Distinct keys of live RAW rows the source does not have; NULL equals NULL.
 
     Keys are compared in RAW's type, which turns into text exactly where RAW
-    holds text (decimals wider than 38 digits).  Only key columns are read, and
-    both sides are deduplicated map-side before their shuffle, so neither a hot
-    key nor a wide table reaches the anti join.
+    holds text (decimals wider than 38 digits).  Both key sets meet in one
+    grouping: NULLs group together without a null-safe join, only key columns
+    are shuffled, once, and a hot key is combined map-side to a row per task.
     """
     keys = list(keys)
     kinds = {f.name.upper(): f.dataType for f in raw.schema.fields}
-    have = live(raw).select(*keys).distinct()
+    have = live(raw).select(*keys, F.lit(False).alias("_offered"))
     offered = source.select(
-        *[_as(F.col(f"`{k}`"), source.schema, k, kinds[k.upper()]).alias(f"_k{i}") for i, k in enumerate(keys)]
-    ).distinct()
-    return have.join(offered, _null_safe(keys, "_k"), "left_anti")
+        *[_as(F.col(f"`{k}`"), source.schema, k, kinds[k.upper()]).alias(k) for k in keys],
+        F.lit(True).alias("_offered"),
+    )
+    return have.union(offered).groupBy(*keys).agg(F.max("_offered").alias("_offered")).where("NOT _offered").drop("_offered")
 
 
 def _as(col: Column, schema: T.StructType, name: str, want: T.DataType) -> Column:

@@ -129,7 +129,7 @@ def scd2_changes(
     if surrogate:
         fresh[DIM_KEY.name] = F.lit(None)
     new = F.when(insert, version(NEW, fresh, ""))
-    return joined.select(F.inline(F.array_compact(F.array(old, new))))
+    return joined.select(F.inline(F.array(old, new))).where(F.col("_op").isNotNull())
 
 
 def empty_dimension(source: DataFrame, surrogate: bool = False) -> DataFrame:

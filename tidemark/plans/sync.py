@@ -28,7 +28,7 @@ from tidemark.staging import scratch_path, stage
 from tidemark.plans.store import CLOSED, CURRENT, TableStore, touched_buckets
 from tidemark.sources.files import write_delta
 from tidemark.sources.window import LAG_MINUTES, incremental_window, window_bounds
-from tidemark.spec import FULL, SCD2, TableSpec
+from tidemark.spec import FULL, SCD2, SILVER, TableSpec
 
 RAW = "raw"
 SUCCESS, FAILED, SKIPPED, MISMATCH = "success", "failed", "skipped", "mismatch"
@@ -120,6 +120,22 @@ class Sync:
             if spec.active
         ]
 
+    def table_counts(self, specs: Iterable[TableSpec]) -> DataFrame | None:
+        """Rows of every stored RAW and SILVER table, for ``layer_counts``; reads footers only."""
+        counted = None
+        for spec in specs:
+            for layer in (RAW, SILVER):
+                df = self.store.read(spec, layer)
+                if df is None:
+                    continue
+                one = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+                    F.lit(spec.namespace(layer)).alias("table_schema"),
+                    F.lit(spec.target_table).alias("table_name"),
+                    "row_count",
+                )
+                counted = one if counted is None else counted.unionByName(one)
+        return counted
+
     def target(self, spec: TableSpec) -> DataFrame | None:
         return self.store.read(spec, spec.target_layer)
 

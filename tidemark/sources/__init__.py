@@ -1,9 +1,10 @@
 from tidemark.sources.dump import read_dump, write_dump
 from tidemark.sources.files import read_by_name, write_delta
-from tidemark.sources.relational import jdbc_options, projection
+from tidemark.sources.relational import bounds_query, jdbc_options, projection
 from tidemark.sources.window import incremental_window, window_bounds
 
 __all__ = [
+    "bounds_query",
     "incremental_window",
     "jdbc_options",
     "projection",

@@ -2,7 +2,7 @@
 
 Spark's CSV reader folds an empty field into NULL as soon as ``nullValue`` is set
 and leaves the escapes in place, so dumps are read as text lines and decoded with
-built-in string functions, all inside whole-stage codegen.
+built-in string functions.
 """
 
 from __future__ import annotations
@@ -69,7 +69,7 @@ def read_dump(
     chunks (64 MB is usual).
     """
     lines = spark.read.option("pathGlobFilter", pattern).option("lineSep", "\n").text(path)
-    if not lines.inputFiles():
+    if len(lines._jdf.inputFiles()) == 0:  # the names themselves stay in the JVM
         raise FileNotFoundError(f"no {pattern} data files in {path}")
     width = len(schema.fields)
     fields = F.split(F.col("value"), "\t", -1)

@@ -17,6 +17,11 @@ def projection(columns: Sequence[SourceColumn]) -> str:
     )
 
 
+def bounds_query(source_db: str, source_table: str, column: str) -> str:
+    """One-row query for the ``bounds`` of a partitioned read."""
+    return f"SELECT MIN(`{column}`) AS lo, MAX(`{column}`) AS hi FROM `{source_db}`.`{source_table}`"
+
+
 def jdbc_options(
     url: str,
     source_db: str,
