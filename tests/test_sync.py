@@ -3,12 +3,15 @@
 from datetime import datetime, timedelta
 
 import pytest
+import zstandard
 from conftest import rows, ts
 from pyspark.sql import functions as F
 
+from tidemark.layers import SourceColumn
 from tidemark.operators.parity import count_board, layer_counts, parity_board
 from tidemark.plans.store import TableStore, touched_buckets
 from tidemark.plans.sync import RAW, Sync
+from tidemark.sources import SourceSpec, open_table, opener
 from tidemark.spec import INCREMENTAL, SCD2, SILVER, TableSpec
 
 SCHEMA = "id long, name string, updated_at timestamp_ntz"
@@ -268,6 +271,27 @@ def test_a_second_writer_of_a_version_fails(spark, tmp_path):
         store._publish(SPEC, RAW, stale)
 
 
+def test_sources_feed_a_run(spark, tmp_path):
+    columns = (SourceColumn("id", "int"), SourceColumn("name", "varchar"), SourceColumn("updated_at", "datetime"))
+    (tmp_path / "dump").mkdir()
+    (tmp_path / "dump" / "item@0.tsv.zst").write_bytes(
+        zstandard.compress(b"1\ta\t2024-01-01 00:00:00\n2\t\\N\t2024-01-02 00:00:00\n")
+    )
+    spark.createDataFrame([(7, "x", D[1])], SCHEMA).write.parquet(str(tmp_path / "part"))
+    sources = {
+        ("shop", "item"): SourceSpec("dump", str(tmp_path / "dump"), columns),
+        ("shop", "part"): SourceSpec("parquet", str(tmp_path / "part")),
+    }
+    sync = Sync(spark, TableStore(spark, str(tmp_path / "store")), opener(spark, sources))
+    part = SPEC.with_(source_table="part", target_table="PART", buckets=1)
+    assert sync.run([SPEC, part]).failed == 0
+    assert rows(sync.target(SPEC), "ID", "NAME") == [(1, "a"), (2, None)]
+    assert rows(sync.target(part)) == [(7, "x", D[1])]
+    assert sync.validate([SPEC, part], deep=True).mismatches == 0
+    with pytest.raises(ValueError):
+        open_table(spark, SourceSpec("smoke", "signal"), SPEC)
+
+
 def test_spec_from_config():
     spec = TableSpec.from_config(
         {

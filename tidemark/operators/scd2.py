@@ -166,7 +166,7 @@ def build_scd2(
     if dim is None:
         dim = empty_dimension(source)
     changed = scd2_changes(dim.where("IS_CURRENT"), source, keys, as_of, batch_id, snapshot).drop("_op")
-    history = dim.where(~F.coalesce(F.col("IS_CURRENT"), F.lit(False)))
+    history = dim.where(~F.col("IS_CURRENT") | F.col("IS_CURRENT").isNull())
     return history.unionByName(changed)
 
 

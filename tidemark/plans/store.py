@@ -46,18 +46,25 @@ class Version:
     notes: dict = field(default_factory=dict)
 
 
+def bucketed(spec: TableSpec) -> bool:
+    return bool(spec.keys) and spec.buckets > 1
+
+
 def bucket_of(spec: TableSpec) -> Column:
-    if not spec.keys or spec.buckets <= 1:
+    if not bucketed(spec):
         return F.lit(0)
     return F.pmod(F.hash(*[F.col(f"`{k}`") for k in spec.keys]), F.lit(spec.buckets))
 
 
+def bucket_sizes(keyed: DataFrame, spec: TableSpec) -> dict[int, int]:
+    """Rows per bucket, at most ``spec.buckets`` entries."""
+    found = keyed.groupBy(bucket_of(spec).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    return {row["b"]: row["n"] for row in found}
+
+
 def touched_buckets(keyed: DataFrame, spec: TableSpec) -> list[int] | None:
-    """Buckets the keys of ``keyed`` fall into (at most ``spec.buckets``); ``None`` is all."""
-    if not spec.keys or spec.buckets <= 1:
-        return None
-    found = keyed.select(bucket_of(spec).alias("b")).distinct().collect()
-    return sorted(row["b"] for row in found)
+    """Buckets the keys of ``keyed`` fall into; ``None`` is all."""
+    return sorted(bucket_sizes(keyed, spec)) if bucketed(spec) else None
 
 
 class TableStore:
@@ -182,7 +189,7 @@ class TableStore:
         number = 1 if before is None else before.number + 1
         segment = f"{number:08d}-{uuid.uuid4().hex[:8]}"
         out = df.withColumns({"_part": F.lit(ALL) if part is None else part, "_bucket": bucket_of(spec)})
-        if spec.keys and spec.buckets > 1:
+        if bucketed(spec):
             out = out.hint("rebalance", F.col("_part"), F.col("_bucket"))
         data = f"{self.root(spec, layer)}/data"
         writer = out.write.mode("errorifexists").partitionBy("_part", "_bucket").option("compression", "snappy")

@@ -25,7 +25,7 @@ from tidemark.operators.scd2 import NEW, assign_surrogate, scd2_changes, scd2_so
 from tidemark.operators.silver import build_silver
 from tidemark.plans.audit import AuditLog
 from tidemark.staging import scratch_path, stage
-from tidemark.plans.store import CLOSED, CURRENT, TableStore, touched_buckets
+from tidemark.plans.store import CLOSED, CURRENT, TableStore, bucket_sizes, bucketed, touched_buckets
 from tidemark.sources.files import write_delta
 from tidemark.sources.window import LAG_MINUTES, incremental_window, window_bounds
 from tidemark.spec import FULL, SCD2, SILVER, TableSpec
@@ -240,8 +240,9 @@ class Sync:
                 if not spec.keys:
                     raise ValueError(f"{spec.label}: an incremental merge needs keys")
                 delta = stage(latest_per_key(landed, spec.keys, spec.watermark_col), "delta")
-                rec["ROWS_RAW"] = delta.count()
-                touched = touched_buckets(delta, spec)
+                sizes = bucket_sizes(delta, spec)
+                rec["ROWS_RAW"] = sum(sizes.values())
+                touched = sorted(sizes) if bucketed(spec) else None
                 raw = self.store.read(spec, RAW, buckets=touched)
                 merged = upsert_raw(raw, delta, spec.keys, as_of, batch, revive=self.revive)
                 self.store.commit(spec, RAW, merged, keep=_outside(touched), count=False)
