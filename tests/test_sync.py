@@ -271,6 +271,22 @@ def test_a_second_writer_of_a_version_fails(spark, tmp_path):
         store._publish(SPEC, RAW, stale)
 
 
+def test_json_columns_travel_through_all_layers(bench):
+    dim_spec = SPEC.with_(table_type=SCD2, target_table="DIM")
+    schema = "id long, doc string, updated_at timestamp_ntz"
+
+    def load(data):
+        plain = bench.spark.createDataFrame(data, schema)
+        bench.set(plain.withColumn("doc", F.parse_json("doc")))
+        assert [r["ERROR_MESSAGE"] for r in bench.run(SPEC, dim_spec).records if r["STATUS"] == "failed"] == []
+
+    load([(1, '{"a":1}', D[1]), (2, '{"b":2}', D[1])])
+    load([(1, '{"a":9}', D[2]), (2, '{"b":2}', D[1])])
+    assert rows(bench.read(SPEC, SILVER), "ID", F.to_json("DOC")) == [(1, '{"a":9}'), (2, '{"b":2}')]
+    assert bench.read(dim_spec, SCD2).count() == 3
+    assert bench.sync.validate([SPEC, dim_spec], deep=True).mismatches == 0
+
+
 def test_sources_feed_a_run(spark, tmp_path):
     columns = (SourceColumn("id", "int"), SourceColumn("name", "varchar"), SourceColumn("updated_at", "datetime"))
     (tmp_path / "dump").mkdir()

@@ -56,14 +56,16 @@ class AuditLog:
         )
         return newest.select("SOURCE_DB", "SOURCE_TABLE", "TARGET_TABLE", "WATERMARK_TO")
 
+    def stored(self) -> dict[tuple[str, str, str], str]:
+        """``watermarks`` as a dictionary: one entry per configured table, so bounded.
+
+        A run reads it once for all its tables.
+        """
+        return {tuple(row)[:3]: row["WATERMARK_TO"] for row in self.watermarks().collect()}
+
     def watermark(self, spec: TableSpec) -> str | None:
-        row = (
-            self.watermarks()
-            .where(
-                (F.col("SOURCE_DB") == spec.source_db)
-                & (F.col("SOURCE_TABLE") == spec.source_table)
-                & (F.col("TARGET_TABLE") == spec.target_table)
-            )
-            .first()
-        )
-        return row["WATERMARK_TO"] if row else None
+        return self.stored().get(log_key(spec))
+
+
+def log_key(spec: TableSpec) -> tuple[str, str, str]:
+    return spec.source_db, spec.source_table, spec.target_table

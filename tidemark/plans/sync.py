@@ -23,7 +23,7 @@ from tidemark.operators.reconcile import count_hits, missing_keys, soft_delete
 from tidemark.operators.scd2 import CLOSED as CLOSED_OP
 from tidemark.operators.scd2 import NEW, assign_surrogate, scd2_changes, scd2_source
 from tidemark.operators.silver import build_silver
-from tidemark.plans.audit import AuditLog
+from tidemark.plans.audit import AuditLog, log_key
 from tidemark.staging import scratch_path, stage
 from tidemark.plans.store import CLOSED, CURRENT, TableStore, bucket_sizes, bucketed, touched_buckets
 from tidemark.sources.files import write_delta
@@ -90,7 +90,11 @@ class Sync:
     ) -> RunResult:
         """Load every active table and build its target."""
         chosen = self._chosen(specs, only_table)
-        return self._each(chosen, lambda spec, batch: self._load(spec, batch, force_full))
+        marks = self.audit.stored()
+        return self._each(
+            chosen,
+            lambda spec, batch: self._load(spec, batch, force_full, marks.get(log_key(spec)) or spec.last_loaded_at),
+        )
 
     def reconcile(
         self, specs: Iterable[TableSpec], only_table: str | None = None, allow_empty_source: bool = False
@@ -206,8 +210,7 @@ class Sync:
 
     # -- load ---------------------------------------------------------------
 
-    def _load(self, spec: TableSpec, batch: str, force_full: bool) -> dict:
-        last = self.audit.watermark(spec) or spec.last_loaded_at
+    def _load(self, spec: TableSpec, batch: str, force_full: bool, last: str | None) -> dict:
         seeded = self.store.version(spec, RAW) is not None
         full = force_full or spec.load_type == FULL or last is None or not seeded
         record = self._record(spec, batch, "full" if full else "incremental", "snapshot" if full else "window")
