@@ -11,11 +11,14 @@ import json
 import os
 import sys
 import time
+from pathlib import Path
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemark.catalog import QUERIES  # noqa: E402
 from tidemark.session import local_session  # noqa: E402
+from tidemark.sources import read_dump, write_dump  # noqa: E402
+from tidemark.staging import scratch_path, stage  # noqa: E402
 
 HEADLINE = (
     "incremental_window",
@@ -57,6 +60,24 @@ def timed(spark, name: str, folder: str) -> float:
     return time.perf_counter() - started
 
 
+def dump_rate(spark, folder: str) -> dict[str, float]:
+    """Megabytes of dump text written, and read back, per second for the largest table.
+
+    The test file is a single row group, so it is first laid out in eight files.
+    """
+    items = stage(spark.read.parquet(f"{folder}/lineitem.parquet").repartition(8))
+    write_dump(items, scratch_path(spark, "warm"))
+    path = scratch_path(spark, "rate")
+    started = time.perf_counter()
+    write_dump(items, path)
+    wrote = time.perf_counter() - started
+    size = sum(f.stat().st_size for f in Path(path).glob("*.txt")) / 1e6
+    started = time.perf_counter()
+    read_dump(spark, path, items.schema, pattern="*.txt").write.format("noop").mode("overwrite").save()
+    read = time.perf_counter() - started
+    return {"megabytes": round(size, 1), "write_mb_per_sec": round(size / wrote, 1), "read_mb_per_sec": round(size / read, 1)}
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cores = os.environ.get("BENCH_CPUS", "8")
@@ -78,6 +99,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "full_dump": dump_rate(spark, folder),
                 "sf": os.path.basename(folder).removeprefix("sf"),
             }
         ),

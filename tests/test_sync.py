@@ -263,6 +263,20 @@ def test_store_versions_and_expiry(spark, tmp_path):
     assert store.read(spec, RAW).count() == 0 and store.read(spec, "other") is None
 
 
+def test_an_oversized_bucket_is_split_over_tasks(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    hot = spark.range(0, 60_000, 1, 4).selectExpr("if(id % 3 < 2, 7, id) AS ID", "uuid() AS V")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    try:
+        store.commit(SPEC, RAW, hot)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    bucket = touched_buckets(spark.createDataFrame([(7,)], "ID long"), SPEC)[0]
+    files = {p.bucket: len(list((tmp_path / "SHOP_RAW/ITEM/data" / p.path).glob("*.parquet"))) for p in store.version(SPEC, RAW).pieces}
+    # A shuffled partition is split along its map outputs, here four.
+    assert files[bucket] == 4 > max(n for b, n in files.items() if b != bucket)
+
+
 def test_a_second_writer_of_a_version_fails(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     store.commit(SPEC, RAW, spark.range(3).withColumnRenamed("id", "ID"))

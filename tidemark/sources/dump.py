@@ -21,7 +21,11 @@ NUL = "\0"
 ESCAPES = {"0": "\0", "b": "\b", "n": "\n", "r": "\r", "t": "\t", "Z": "\x1a"}
 
 
-def _decode(field: Column) -> Column:
+# Only values of these types can hold characters a dump escapes.
+_FREE_TEXT = (T.StringType, T.BinaryType, T.VariantType)
+
+
+def _decode(field: Column, kind: T.DataType) -> Column:
     """Undo the escapes of one field.
 
     A dump escapes NUL characters, so in a field without any, NUL can stand for an
@@ -29,6 +33,8 @@ def _decode(field: Column) -> Column:
     replacement, compiled.  The few fields that do hold a NUL are split on the
     escaped backslash instead, which leaves pieces no replacement can confuse.
     """
+    if not isinstance(kind, _FREE_TEXT):
+        return F.when(field != NULL_FIELD, field)
     quick = _unescape(F.replace(field, F.lit("\\\\"), F.lit(NUL)), [c for c in ESCAPES if c != "0"])
     quick = F.replace(quick, F.lit(NUL), F.lit("\\"))
     split = F.array_join(F.transform(F.split(field, r"\\\\"), lambda piece: _unescape(piece, list(ESCAPES))), "\\")
@@ -48,10 +54,12 @@ def _unescape(text: Column, letters: list[str]) -> Column:
     return F.when(F.contains(text, F.lit("\\")), F.regexp_replace(text, r"(?s)\\(.)", "$1")).otherwise(text)
 
 
-def _encode(col: Column) -> Column:
-    text = F.replace(col, F.lit("\\"), F.lit("\\\\"))
-    for letter, char in ESCAPES.items():
-        text = F.replace(text, F.lit(char), F.lit("\\" + letter))
+def _encode(col: Column, kind: T.DataType) -> Column:
+    text = col.cast("string")
+    if isinstance(kind, _FREE_TEXT):
+        text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+        for letter, char in ESCAPES.items():
+            text = F.replace(text, F.lit(char), F.lit("\\" + letter))
     return F.coalesce(text, F.lit(NULL_FIELD))
 
 
@@ -80,7 +88,7 @@ def read_dump(
     )
     parts = lines.select(checked.alias("f"), F.col("_metadata.file_path").alias("_SRC_FILE"))
     text = parts.select(
-        *[_decode(F.col("f")[i]).alias(f.name) for i, f in enumerate(schema.fields)], "_SRC_FILE"
+        *[_decode(F.col("f")[i], f.dataType).alias(f.name) for i, f in enumerate(schema.fields)], "_SRC_FILE"
     )
     if with_file:
         schema = T.StructType([*schema.fields, T.StructField("_SRC_FILE", T.StringType())])
@@ -93,7 +101,7 @@ def write_dump(df: DataFrame, path: str, compression: str = "none") -> None:
     Spark reads zstd text but has no built-in codec to write it.  Uncompressed
     files can be split by the reader, compressed ones cannot.
     """
-    cells = [_encode(F.col(f"`{c}`").cast("string")) for c in df.columns]
+    cells = [_encode(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
     line = F.concat_ws("\t", *cells).alias("value")
     df.select(line).write.mode("errorifexists").option("lineSep", "\n").option(
         "compression", compression
