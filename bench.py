@@ -66,15 +66,15 @@ def dump_rate(spark, folder: str) -> dict[str, float]:
     The test file is a single row group, so it is first laid out in eight files.
     """
     items = stage(spark.read.parquet(f"{folder}/lineitem.parquet").repartition(8))
-    write_dump(items, scratch_path(spark, "warm"))
-    path = scratch_path(spark, "rate")
-    started = time.perf_counter()
-    write_dump(items, path)
-    wrote = time.perf_counter() - started
+    for _ in range(2):  # the first round warms up
+        path = scratch_path(spark, "rate")
+        started = time.perf_counter()
+        write_dump(items, path)
+        wrote = time.perf_counter() - started
+        started = time.perf_counter()
+        read_dump(spark, path, items.schema, pattern="*.txt").write.format("noop").mode("overwrite").save()
+        read = time.perf_counter() - started
     size = sum(f.stat().st_size for f in Path(path).glob("*.txt")) / 1e6
-    started = time.perf_counter()
-    read_dump(spark, path, items.schema, pattern="*.txt").write.format("noop").mode("overwrite").save()
-    read = time.perf_counter() - started
     return {"megabytes": round(size, 1), "write_mb_per_sec": round(size / wrote, 1), "read_mb_per_sec": round(size / read, 1)}
 
 

@@ -67,6 +67,7 @@ def test_seed_then_delta_then_nothing(bench):
     assert (delta["WATERMARK_FROM"], delta["WATERMARK_TO"]) == ("2024-01-01 00:00:00", "2024-01-03 00:00:00")
     silver = bench.read(SPEC, SILVER)
     assert silver.columns == ["ID", "NAME", "UPDATED_AT"] and silver.count() == 21
+    assert bench.read(SPEC, RAW).where("ID = 99").first()._SRC_FILE.endswith(".parquet")  # the landing file
     assert rows(silver.where("ID IN (3, 99)"), "ID", "NAME") == [(3, "THREE"), (99, "new")]
     before = bench.sync.store.version(SPEC, SILVER).number
     nothing = only(bench.run(SPEC))
@@ -110,6 +111,15 @@ def test_a_failing_table_does_not_stop_the_others(bench):
     assert bench.run(broken, SPEC, only_table="item").records[0]["SOURCE_TABLE"] == "item"
 
 
+def test_many_tables_log_side_by_side(bench):
+    bench.sync.parallel = 8
+    specs = [SPEC.with_(source_table=f"t{i}", target_table=f"T{i}", active=True) for i in range(8)]
+    for spec in specs:
+        bench.tables[spec.source_table] = RuntimeError("down")
+    assert bench.run(*specs).failed == 8
+    assert bench.sync.audit.log().count() == 8
+
+
 def test_a_failure_leaves_layers_and_watermark_alone(bench, monkeypatch):
     bench.set([(1, "a", D[1])])
     bench.run(SPEC)
@@ -317,6 +327,11 @@ def test_sources_feed_a_run(spark, tmp_path):
     assert sync.run([SPEC, part]).failed == 0
     assert rows(sync.target(SPEC), "ID", "NAME") == [(1, "a"), (2, None)]
     assert rows(sync.target(part)) == [(7, "x", D[1])]
+    assert sync.store.read(part, RAW).first()._SRC_FILE.endswith(".parquet")
+    spark.createDataFrame([(8, "y", D[2])], SCHEMA).write.mode("append").parquet(str(tmp_path / "part"))
+    assert only(sync.run([part]))["ROWS_RAW"] == 1
+    added = sync.store.read(part, RAW).where("ID = 8").first()
+    assert "/part/" in added._SRC_FILE and added._BATCH_ID is not None
     assert sync.validate([SPEC, part], deep=True).mismatches == 0
     with pytest.raises(ValueError):
         open_table(spark, SourceSpec("smoke", "signal"), SPEC)

@@ -85,10 +85,13 @@ def business_columns(df: DataFrame) -> list[str]:
 def with_audit(
     df: DataFrame, as_of: object, batch_id: str | None = None, src_file: Column | str | None = None
 ) -> DataFrame:
-    """Business columns plus fresh audit columns, in RAW order."""
+    """Business columns plus fresh audit columns, in RAW order.
+
+    ``src_file`` may be a column of ``df``; audit columns ``df`` has are replaced.
+    """
     source = src_file if isinstance(src_file, Column) else F.lit(src_file).cast("string")
     return df.select(
-        *[F.col(f"`{c}`") for c in df.columns],
+        *[F.col(f"`{c}`") for c in df.columns if c not in AUDIT],
         ntz(as_of).alias("_LOAD_TS"),
         source.alias("_SRC_FILE"),
         F.lit(batch_id).cast("string").alias("_BATCH_ID"),

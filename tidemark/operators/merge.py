@@ -24,7 +24,7 @@ def upsert_raw(
     keys: Sequence[str],
     as_of: object,
     batch_id: str | None = None,
-    src_file: str | None = None,
+    src_file: Column | str | None = None,
     revive: bool = False,
 ) -> DataFrame:
     """Merge a delta with one row per key into RAW.
@@ -32,7 +32,8 @@ def upsert_raw(
     Every RAW row whose key is in the delta takes all its non-key business
     columns, whatever the watermarks say; audit columns stay as they are.  Other
     delta rows are inserted.  A NULL in a key matches nothing.  ``revive`` also
-    clears the delete flag of matched rows.
+    clears the delete flag of matched rows.  A ``_SRC_FILE`` column of the delta
+    becomes that of the inserted rows.
 
     Planned as ``raw LEFT JOIN delta`` plus ``delta ANTI JOIN raw keys`` instead
     of one full outer join: a left join can broadcast a small delta, so RAW is not
@@ -79,5 +80,8 @@ def upsert_raw(
     if fits_broadcast(delta):
         # Reduce RAW's keys to the few in the delta without shuffling them.
         known = known.join(delta.select(*keys), keys, "left_semi")
-    fresh = delta.select(*business).join(known.distinct(), keys, "left_anti").select(*business)
+    origin = ["_SRC_FILE"] if "_SRC_FILE" in delta.columns else []
+    fresh = delta.select(*business, *origin).join(known.distinct(), keys, "left_anti").select(*business, *origin)
+    if origin:
+        src_file = F.col("_SRC_FILE")
     return kept.unionByName(with_audit(fresh, as_of, batch_id, src_file))

@@ -36,11 +36,14 @@ class AuditLog:
         line = self.spark.range(0, 1, 1, 1).select(
             *[typed(row.get(f.name), f.dataType).alias(f.name) for f in RUN_LOG_SCHEMA.fields]
         )
-        line.write.mode("append").parquet(self.path)
+        # Tables run side by side: appends to one folder would share its temporary
+        # files, and the first to finish would delete those of the others.
+        line.write.mode("errorifexists").parquet(f"{self.path}/{row['BATCH_ID']}/{row['RUN_ID']}")
 
     def log(self) -> DataFrame:
         try:
-            return self.spark.read.schema(RUN_LOG_SCHEMA).parquet(self.path)
+            reader = self.spark.read.schema(RUN_LOG_SCHEMA).option("recursiveFileLookup", "true")
+            return reader.parquet(self.path)
         except AnalysisException:  # nothing written yet
             return self.spark.createDataFrame([], RUN_LOG_SCHEMA)
 

@@ -9,12 +9,12 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import typed
-from tidemark.layers import DIM_KEY, business_fields, conform, scd2_schema, upper_names
+from tidemark.layers import business_fields, conform, scd2_schema, upper_names
 from tidemark.operators.dedupe import latest_per_key
 from tidemark.operators.drift import Drift, detect_drift, evolve
 from tidemark.operators.merge import replace_raw, upsert_raw
@@ -227,7 +227,7 @@ class Sync:
                 touched = None
                 snapshot = self._fit(spec, source)
                 rec["ROWS_RAW"] = rec["ROWS_EXTRACTED"] = self.store.commit(
-                    spec, RAW, replace_raw(snapshot, as_of, batch)
+                    spec, RAW, replace_raw(snapshot, as_of, batch, _origin())
                 )
             else:
                 rec["FAILED_STEP"] = "extract_window"
@@ -276,8 +276,10 @@ class Sync:
     def _land(self, spec: TableSpec, window: DataFrame) -> DataFrame:
         """Write the window to landing files, so the source is read exactly once."""
         path = scratch_path(self.spark, f"landing-{spec.target_table}")
-        write_delta(window, path, spec.rows_per_file)
-        return self.spark.read.schema(window.schema).parquet(path)
+        traced = window.withColumn("_SRC_FILE", _origin())
+        write_delta(traced, path, spec.rows_per_file)
+        landed = self.spark.read.schema(traced.schema).parquet(path)
+        return landed.withColumn("_SRC_FILE", F.coalesce("_SRC_FILE", F.col("_metadata.file_name")))
 
     def _build_target(
         self, spec: TableSpec, as_of: datetime, batch: str, touched: list[int] | None, snapshot: bool
@@ -408,6 +410,11 @@ def _mismatch(report: dict) -> str:
     return "; ".join(found)
 
 
+def _origin() -> Column:
+    """Source file of a row; NULL when it does not come from a file."""
+    return F.nullif(F.input_file_name(), F.lit(""))
+
+
 def _outside(touched: list[int] | None) -> Callable:
     """Keeps the directories of buckets that were not rewritten; ``None`` rewrote all."""
     if touched is None:
