@@ -111,6 +111,17 @@ def test_a_failing_table_does_not_stop_the_others(bench):
     assert bench.run(broken, SPEC, only_table="item").records[0]["SOURCE_TABLE"] == "item"
 
 
+def test_an_unwritable_log_is_a_failure(bench, monkeypatch):
+    bench.set([(1, "a", D[1])])
+
+    def full(*_, **__):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(bench.sync.audit, "write", full)
+    record = only(bench.run(SPEC))
+    assert (record["STATUS"], record["FAILED_STEP"], record["ERROR_MESSAGE"]) == ("failed", "run_log", "disk full")
+
+
 def test_many_tables_log_side_by_side(bench):
     bench.sync.parallel = 8
     specs = [SPEC.with_(source_table=f"t{i}", target_table=f"T{i}", active=True) for i in range(8)]
