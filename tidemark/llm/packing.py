@@ -47,18 +47,22 @@ def plan(counts: dict[int, int], capacity: Capacity) -> list[tuple[int, int, int
     """
     limits = np.array([capacity.tokens, capacity.pieces, capacity.attention], float)
     weights = np.array(capacity.weights, float)
-    free = np.zeros((0, 3))  # one row per group of sequences in the same state
+    free = np.zeros((64, 3))  # one row per group of sequences in the same state
+    used_groups = np.zeros(64, bool)
     spans: list[list[tuple[int, int]]] = []  # runs of sequence numbers of each group
     runs, opened = [], 0
     index: dict[tuple[int, int, int], int] = {}
 
     def group(state: np.ndarray) -> int:
-        nonlocal free
+        nonlocal free, used_groups
         key = tuple(int(v) for v in state)
         if key not in index:
             index[key] = len(spans)
-            free = np.vstack([free, state])
+            if len(spans) == len(free):
+                free, used_groups = np.vstack([free, free]), np.concatenate([used_groups, np.zeros(len(free), bool)])
+            free[len(spans)] = state
             spans.append([])
+        used_groups[index[key]] = True
         return index[key]
 
     for length in sorted((n for n, c in counts.items() if c), reverse=True):
@@ -67,16 +71,16 @@ def plan(counts: dict[int, int], capacity: Capacity) -> list[tuple[int, int, int
             raise ValueError(f"a piece of {length} tokens exceeds an empty sequence")
         left, rank = counts[length], 0
         while left:
-            fits = np.flatnonzero((free >= need).all(axis=1) & np.fromiter(map(bool, spans), bool, len(spans)))
+            fits = np.flatnonzero(used_groups)
+            fits = fits[(free[fits] >= need).all(axis=1)]
             if fits.size:
                 if capacity.rule == "dot":
                     score = -((free[fits] / limits) * (need / limits) * weights).sum(axis=1)
                 else:
                     score = (weights * ((free[fits] - need) / limits) ** 2).sum(axis=1)
                 g = int(fits[np.argmin(score)])
-                state = free[g]
-                taken = spans[g]
-                spans[g] = []
+                state = free[g].copy()
+                taken, spans[g], used_groups[g] = spans[g], [], False
             else:
                 # As many new sequences as the class fills by itself.
                 per = int(min(limits // need))
