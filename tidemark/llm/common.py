@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import os
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +28,12 @@ def query(name: str, sql: str | None = None):
     """Register a query and, where SQL can say the same, its reference SQL."""
 
     def register(function):
-        QUERIES[name] = function
+        @functools.wraps(function)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            importable(spark)
+            return function(spark, folder)
+
+        QUERIES[name] = run
         if sql is not None:
             REFERENCE_SQL[name] = sql
         return function
@@ -33,6 +41,17 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import the package from where the driver has it.
+
+    Enough where all machines see that folder; elsewhere the package is installed or sent with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, environment.get("PYTHONPATH", "")]))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing
+from tidemark.llm import bpe, packing, toxicity
 from tidemark.llm.common import QUERIES, REFERENCE_SQL, query, table
 
 __all__ = ["QUERIES", "REFERENCE_SQL"]
@@ -15,6 +16,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op2_toxicity")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    scored = docs.select("doc_id", toxicity.held_out().alias("held_out"), toxicity.score_column(model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 @query("op7_bpe")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(table(spark, folder, "documents"), tokenizer_path())
