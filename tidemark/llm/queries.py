@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, toxicity
+from tidemark.llm import bpe, packing, pii, toxicity
 from tidemark.llm.common import QUERIES, REFERENCE_SQL, query, table
 
 __all__ = ["QUERIES", "REFERENCE_SQL"]
@@ -24,6 +24,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+@query("op3_pii")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(table(spark, folder, "documents"))
+
+
 @query("op7_bpe")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(table(spark, folder, "documents"), tokenizer_path())
