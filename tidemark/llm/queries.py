@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, jaccard, packing, pii, toxicity
+from tidemark.llm import bpe, jaccard, packing, pii, repeats, toxicity
 from tidemark.llm.common import QUERIES, REFERENCE_SQL, query, table
 
 __all__ = ["QUERIES", "REFERENCE_SQL"]
@@ -29,6 +29,11 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(table(spark, folder, "documents"))
 
 
+@query("op4_repeats")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digest(table(spark, folder, "documents"))
+
+
 @query("op5_jaccard")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.classes(table(spark, folder, "documents"))
