@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, jaccard, packing, pii, repeats, toxicity
+from tidemark.llm import bpe, jaccard, licenses, packing, pii, repeats, secrets, toxicity
 from tidemark.llm.common import QUERIES, REFERENCE_SQL, query, table
 
 __all__ = ["QUERIES", "REFERENCE_SQL"]
@@ -44,6 +44,16 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(table(spark, folder, "documents"), tokenizer_path())
 
 
+@query("op8_secrets")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest(table(spark, folder, "documents"))
+
+
+@query("op9_licenses")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.report(table(spark, folder, "documents"))
+
+
 @query("op10_packing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path())

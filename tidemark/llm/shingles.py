@@ -42,8 +42,8 @@ def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWER[key]
 
 
-def _words_of_block(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    space = _SPACE[raw]
+def _words_of_block(raw: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    space = breaks[raw]
     edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
     starts, ends = edge[0::2], edge[1::2]
     up, down = powers(raw.size + 1)
@@ -53,19 +53,22 @@ def _words_of_block(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, mix64(hashes ^ (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Start offset and hash of every word of a byte string; blocks end at white space."""
+def words(data: bytes, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Start offset and hash of every word of a byte string; ``breaks`` tells which bytes lie between words.
+
+    A to Z count as a to z.  Blocks end between words.
+    """
     raw = np.frombuffer(data, np.uint8)
     starts, hashes, at = [], [], 0
     while at < raw.size:
         end = min(raw.size, at + BLOCK)
         while end < raw.size:  # to the next white space
-            gap = np.flatnonzero(_SPACE[raw[end : end + BLOCK]])
+            gap = np.flatnonzero(breaks[raw[end : end + BLOCK]])
             if gap.size:
                 end += int(gap[0])
                 break
             end = min(raw.size, end + BLOCK)
-        s, h = _words_of_block(raw[at:end])
+        s, h = _words_of_block(raw[at:end], breaks)
         starts.append(s + at)
         hashes.append(h)
         at = end
