@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, jaccard, licenses, packing, pii, repeats, secrets, toxicity
+from tidemark.llm import bpe, jaccard, licenses, neighbours, packing, pii, repeats, secrets, topk, toxicity
 from tidemark.llm.common import QUERIES, REFERENCE_SQL, query, table
 
 __all__ = ["QUERIES", "REFERENCE_SQL"]
@@ -16,6 +16,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op1_neighbours")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.search(vectors, neighbours.every_twentieth(vectors))
+
+
 @query("op2_toxicity")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -39,6 +45,12 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.classes(table(spark, folder, "documents"))
 
 
+@query("op6_topk")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return topk.search(vectors, neighbours.every_twentieth(vectors))
+
+
 @query("op7_bpe")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(table(spark, folder, "documents"), tokenizer_path())
