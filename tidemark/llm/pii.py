@@ -20,7 +20,8 @@ from dataclasses import dataclass
 from itertools import accumulate
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, stage
@@ -324,3 +325,14 @@ def masked(model_yes: dict, texts: list[str | None]) -> list[str | None]:
             at = max(at, end)
         out.append("".join([*pieces, text[at:]]))
     return out
+
+
+def masked_text(docs: DataFrame) -> Column:
+    """The text of each row with every reported span masked; the model learns from all of ``docs`` first."""
+    yes = accepted(fit(stage(candidates(docs), "pii")))
+
+    @F.pandas_udf("string")
+    def mask(texts: pd.Series) -> pd.Series:
+        return pd.Series(masked(yes, texts.tolist()), dtype=object)
+
+    return mask(F.col("text"))
