@@ -1,5 +1,84 @@
-"""The training-data pipeline."""
-STAGES = []
+"""The training-data pipeline: five stages over ``documents``.
+
+Each stage takes what its predecessor returned and decides on all of it.  All but the last return the columns they got;
+``doc_id`` and ``text`` are needed, ``n_chars`` is kept true to the text where it exists, every other column passes through.
+Null and empty texts stay, unless a later document of the same kind makes them copies: they are never copies.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import jaccard, packing, pii, repeats, toxicity
+from tidemark.llm.common import importable, table
+from tidemark.llm.queries import tokenizer_path
+from tidemark.staging import stage
+
+
+def _with_text(docs: DataFrame, text: Column) -> DataFrame:
+    """Replace the text, and its length where the documents have it."""
+    columns = docs.columns
+    out = docs.withColumn("text", text)
+    if "n_chars" in columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*[f"`{c}`" for c in columns])
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below the threshold; the model learns from the labelled rows at hand."""
+    importable(spark)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return docs.where(toxicity.score_column(model) < toxicity.THRESHOLD)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: that with the smallest id; of rows with one id and text, all or none.
+
+    A row stays if its own id is its group's smallest, so documents that are linked to nothing always stay.
+    """
+    importable(spark)
+    gone = jaccard.classes(docs).where("component_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = stage(gone, "gone")
+    # Only texts whose id falls into a cell of a copy's id are shuffled.
+    near, far = repeats.only_of(docs, gone, "doc_id", "__cell")
+    return near.join(gone, near["doc_id"] == gone["__gone"], "left_anti").unionByName(far)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the byte strings that occur elsewhere too."""
+    importable(spark)
+    found = repeats.with_removals(docs)
+    return _with_text(found, repeats.kept_text(F.col("text"), F.col(repeats.REMOVED))).drop(repeats.REMOVED)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data replaced by the name of its kind."""
+    importable(spark)
+    return _with_text(docs, pii.masked_text(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces and their places in training sequences."""
+    importable(spark)
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_copies", drop_near_copies),
+    ("repeats", drop_repeats),
+    ("personal_data", mask_personal_data),
+    ("packing", pack),
+]
+
+# The stages learn, cluster and pack: beyond SQL.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for _, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), "pipeline")
+    return STAGES[-1][1](spark, docs, sf_dir)
