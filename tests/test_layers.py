@@ -159,7 +159,8 @@ def test_silver_merge_branches(frame):
     silver = frame([(1, D1, "a"), (2, D1, "b"), (3, D1, "c"), (None, D1, "n")], KV)
     raw = raw_of(frame([(1, D2, "A"), (2, D2, "x"), (4, D2, "d"), (5, D2, "x"), (None, D2, "m")], KV), F.col("v") == "x")
     merged = build_silver(silver, raw, ["k"], "wm")
-    assert rows(merged, "k", "v") == [(1, "A"), (3, "c"), (4, "d"), (None, "m"), (None, "n")]
+    assert rows(merged, "k", "v") == [(1, "A"), (3, "c"), (4, "d"), (None, "m")]
+    assert rows(build_silver(merged, raw, ["k"], "wm"), "k", "v") == rows(merged, "k", "v")
     assert rows(build_silver(merged.where("k IS NOT NULL"), raw, ["k"], "wm"), "k", "v") == [
         (1, "A"), (3, "c"), (4, "d"), (None, "m"),
     ]
@@ -257,7 +258,11 @@ def test_fingerprint_text_of_every_type(frame):
     from tidemark.functions import canonical_row
 
     text = df.select(canonical_row(df.schema.fields)).first()[0]
-    assert text == '1~|~10000000000.000000~|~6162~|~2024-01-02~|~~N~~|~2024-01-02 03:04:05~|~{"a":1}~|~1.50'
+    assert text == '1~|~1.0E10~|~6162~|~2024-01-02~|~~N~~|~2024-01-02 03:04:05.678~|~{"a":1}~|~1.50'
+    cut = df.select(canonical_row(df.schema.fields, seconds=True)).first()[0]
+    assert cut == text.replace(".678", "")
+    tiny = frame([(1e-8, 4e-7)], "a double, b double")
+    assert fingerprint(tiny.select("a")).first() != fingerprint(tiny.selectExpr("b AS a")).first()
     assert set(fingerprint_columns(df.schema.fields)) == {"rows", "hash_xor", "hash_sum"}
 
 

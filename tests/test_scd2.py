@@ -94,10 +94,17 @@ def test_a_complete_snapshot_deletes_absent_keys(frame, first):
     assert [(h[0], h[4], h[6]) for h in history(dim)] == [(1, "open", False), (2, LATER, True), (3, LATER, True)]
 
 
-def test_null_hash_counts_as_equal_and_null_keys_never_match(frame, first):
+def test_null_hash_counts_as_equal_and_null_keys_match(frame, first):
     unknown = first.withColumn("ROW_HASH", F.lit(None).cast("long"))
     dim = build(unknown, frame([(1, D[2], "A", "x"), (None, D[2], "n", "x")], KV))
     assert [h[:2] for h in history(dim)] == [(1, "a"), (2, "b"), (3, "c"), (None, "n")]
+    again = build(dim, frame([(None, D[2], "n", "x")], KV))
+    assert [h[:2] for h in history(again)] == [h[:2] for h in history(dim)]
+
+
+def test_lookup_refuses_joins_that_keep_versions(frame, first):
+    with pytest.raises(ValueError):
+        fact_lookup(frame([(1, D[1])], "f long, at timestamp_ntz"), first, [("f", "k")], "at", how="full_outer")
 
 
 def test_a_value_moving_between_tracked_columns_is_a_change(frame):

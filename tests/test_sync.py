@@ -131,6 +131,106 @@ def test_many_tables_log_side_by_side(bench):
     assert bench.sync.audit.log().count() == 8
 
 
+class Broken(Exception):
+    """What a failing build raises."""
+
+
+def failing(bench, monkeypatch, work):
+    """Run ``work`` with a target build that fails after RAW was committed."""
+
+    def stop(*_, **__):
+        raise Broken("stopped")
+
+    monkeypatch.setattr(bench.sync, "_build_target", stop)
+    record = only(work())
+    monkeypatch.undo()
+    assert record["FAILED_STEP"] == "build_target"
+
+
+@pytest.mark.parametrize("kind", ["silver", SCD2])
+def test_a_target_left_behind_is_rebuilt(bench, monkeypatch, kind):
+    spec = SPEC.with_(table_type=kind, target_table="T")
+    bench.set([(i, "old", D[1]) for i in range(30)])
+    bench.run(spec)
+    bench.set([(i, "new", D[1]) for i in range(25)])
+    failing(bench, monkeypatch, lambda: bench.run(spec, force_full=True))
+    assert only(bench.sync.validate([spec]))["STATUS"] == "mismatch"
+    assert only(bench.run(spec))["STATUS"] == "success"  # nothing in the window, but the target is behind
+    target = bench.sync.target(spec)
+    live = target.where("IS_CURRENT") if kind == SCD2 else target
+    assert rows(live, "ID", "NAME") == sorted(((i, "new") for i in range(25)), key=str)
+    assert only(bench.sync.validate([spec], deep=True))["STATUS"] == "success"
+    assert only(bench.run(spec))["STATUS"] == "skipped"
+
+
+def test_reconcile_rebuilds_a_target_left_behind(bench, monkeypatch):
+    bench.set([(i, "a", D[1]) for i in range(20)])
+    bench.run(SPEC)
+    bench.set([(i, "a", D[1]) for i in range(15)])
+    failing(bench, monkeypatch, lambda: bench.sync.reconcile([SPEC]))
+    assert only(bench.sync.reconcile([SPEC]))["STATUS"] == "success"
+    assert bench.sync.target(SPEC).count() == 15
+
+
+def test_missing_key_or_watermark_fails_the_load(bench):
+    bench.set([(1, "a", D[1])])
+    bench.run(SPEC)
+    for schema in ("ident long, name string, updated_at timestamp_ntz", "id long, name string, changed timestamp_ntz"):
+        bench.set([(1, "b", D[2])], schema)
+        assert "lacks" in only(bench.run(SPEC))["ERROR_MESSAGE"]
+    assert rows(bench.read(SPEC, RAW), "NAME") == [("a",)]
+
+
+def test_wider_types_and_dropped_columns(bench):
+    bench.set([(1, "a", 5, D[1])], "id int, name string, n int, updated_at timestamp_ntz")
+    bench.run(SPEC)
+    bench.set([(2**40, 7_000_000_000, D[2])], "id long, n long, updated_at timestamp_ntz")
+    record = only(bench.run(SPEC))
+    assert record["STATUS"] == "success", record.get("ERROR_MESSAGE")
+    assert "NAME" in record["WARNINGS"][0]
+    assert rows(bench.read(SPEC, SILVER), "ID", "N") == [(1, 5), (2**40, 7_000_000_000)]
+    bench.set([(1, "text", D[3])], "id long, n string, updated_at timestamp_ntz")
+    assert only(bench.run(SPEC))["STATUS"] == "failed"
+    assert only(bench.run(SPEC, force_full=True))["STATUS"] == "success"
+    assert rows(bench.read(SPEC, SILVER), "N") == [("text",)]
+
+
+def test_a_dimension_changes_its_bucket_count(bench):
+    spec = SPEC.with_(table_type=SCD2, target_table="DIM")
+    bench.set([(i, "a", D[1]) for i in range(9)])
+    bench.run(spec)
+    bench.set([(i, "b", D[2]) for i in range(9)])
+    bench.run(spec)
+    moved = spec.with_(buckets=3)
+    assert only(bench.run(moved, force_full=True))["STATUS"] == "success"
+    assert bench.sync.target(moved).count() == 18
+    assert {p.bucket for p in bench.sync.store.version(moved, SCD2).pieces} <= {0, 1, 2}
+
+
+def test_old_versions_go(spark, tmp_path):
+    bench = Bench(spark, str(tmp_path / "store"), keep_versions=2)
+    for day in range(1, 6):
+        bench.set([(1, str(day), D[day])])
+        bench.run(SPEC)
+    for layer in (RAW, SILVER):
+        store = bench.sync.store
+        newest = store.version(SPEC, layer).number
+        assert len(store._names(f"{store.root(SPEC, layer)}/versions")) <= 4  # two manifests and their checksums
+        with pytest.raises(Exception):
+            store.version(SPEC, layer, newest - 2)
+    assert rows(bench.read(SPEC, SILVER), "NAME") == [("5",)]
+
+
+def test_a_second_writer_of_a_version_fails(bench):
+    bench.set([(1, "a", D[1])])
+    bench.run(SPEC)
+    store = bench.sync.store
+    version = store.version(SPEC, RAW)
+    with pytest.raises(RuntimeError):
+        store._publish(SPEC, RAW, version)
+    assert not [n for n in store._names(f"{store.root(SPEC, RAW)}/versions") if n.startswith(".draft")]
+
+
 def test_a_failure_leaves_layers_and_watermark_alone(bench, monkeypatch):
     bench.set([(1, "a", D[1])])
     bench.run(SPEC)
@@ -255,7 +355,7 @@ def test_validation_reports_the_failed_check(bench):
     bench.set([(1, "A", D[2]), (2, "b", D[2])])
     both = bench.sync.validate([SPEC])
     assert both.mismatches == 1
-    assert only(both)["ERROR_MESSAGE"] == "source 2 != raw_live 1 (delta +1); watermark 2024-01-02 00:00:00 != 2024-01-01 00:00:00"
+    assert only(both)["ERROR_MESSAGE"] == "2 rows at the source, 1 live in RAW, off by 1; watermark 2024-01-02 00:00:00 != 2024-01-01 00:00:00"
 
 
 def test_boards_over_specs(bench):

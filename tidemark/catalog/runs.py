@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,6 +103,107 @@ def sync_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     return runner.target(spec)
 
 
+class _BrokenOnce(Sync):
+    """A sync whose next target build fails after RAW was committed."""
+
+    broken = False
+
+    def _build_target(self, *args, **options):
+        if self.broken:
+            self.broken = False
+            raise RuntimeError("stopped on purpose")
+        return super()._build_target(*args, **options)
+
+
+@query(
+    f"""SELECT * REPLACE (cast("O_TOTALPRICE" + 1 AS decimal(18,2)) AS "O_TOTALPRICE") FROM (SELECT {UPPER} FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)"""
+)
+def sync_after_failed_build(spark: SparkSession, folder: str) -> DataFrame:
+    """SILVER after a forced full load whose build failed and an incremental run."""
+    current = {"now": orders_until(spark, folder, ORDERS_CUT)}
+    when = [datetime(2024, 2, 1, 3)]
+    store = TableStore(spark, scratch_path(spark, "store"))
+    runner = _BrokenOnce(spark, store, lambda spec: current["now"], clock=lambda: when[-1])
+    _must(runner.run([ORDERS]))
+    raised = (F.col("o_totalprice") + 1).cast("decimal(18,2)")
+    current["now"] = orders(spark, folder).withColumn("o_totalprice", raised)
+    runner.broken = True
+    runner.run([ORDERS], force_full=True)
+    _must(runner.run([ORDERS]))
+    return runner.target(ORDERS)
+
+
+@query(
+    f"""SELECT {UPPER} FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)"""
+)
+def sync_reconcile_after_failed_build(spark: SparkSession, folder: str) -> DataFrame:
+    """SILVER after a reconciliation whose build failed and one that finds nothing more to delete."""
+    spec = ORDERS.with_(keys=("O_ORDERKEY",))
+    current = {"now": orders(spark, folder)}
+    store = TableStore(spark, scratch_path(spark, "store"))
+    runner = _BrokenOnce(spark, store, lambda spec: current["now"], clock=lambda: datetime(2024, 2, 1, 3))
+    _must(runner.run([spec]))
+    lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    current["now"] = orders(spark, folder).join(lines, "o_orderkey", "left_semi")
+    runner.broken = True
+    runner.reconcile([spec])
+    _must(runner.reconcile([spec]))
+    return runner.target(spec)
+
+
+@query(
+    """SELECT o_orderkey AS "O_ORDERKEY", o_orderdate + to_hours(o_orderkey % 24) AS "CHANGED" FROM orders"""
+)
+def sync_source_clock(spark: SparkSession, folder: str) -> DataFrame:
+    """A source eight hours behind UTC whose open transactions show up late: windows end by its clock, so no row is lost."""
+    spec = ORDERS.with_(keys=("O_ORDERKEY",), watermark_col="CHANGED", last_loaded_at="1990-01-01 00:00:00")
+    hours = F.make_dt_interval(hours=F.pmod(F.col("o_orderkey"), F.lit(24)).cast("int"))
+    everything = orders(spark, folder).select("o_orderkey", (F.col("o_orderdate") + hours).alias("changed"))
+    source_now = [datetime(1998, 6, 1, 12), datetime(2024, 2, 1)]
+    # Half of what changed in the last four hours before the first run's clock is not committed yet.
+    late = (F.col("changed") > F.lit("1998-06-01 08:00:00").cast("timestamp_ntz")) & (F.col("o_orderkey") % 2 == 0)
+    seen = everything.where(F.col("changed") <= F.lit("1998-06-01 12:00:00").cast("timestamp_ntz")).where(~late)
+    current, at = {"now": seen.limit(0)}, [0]
+    store = TableStore(spark, scratch_path(spark, "store"))
+    runner = Sync(
+        spark,
+        store,
+        lambda spec: current["now"],
+        clock=lambda: source_now[at[0]] + timedelta(hours=8),
+        lag_minutes=240,
+        ceiling=lambda spec: source_now[at[0]],
+    )
+    _must(runner.run([spec]))  # an empty source seeds the table
+    current["now"] = seen
+    _must(runner.run([spec]))
+    current["now"], at[0] = everything, 1
+    _must(runner.run([spec]))
+    return runner.target(spec)
+
+
+@query(
+    f"""SELECT o_orderkey AS "O_ORDERKEY", o_custkey AS "O_CUSTKEY", o_orderdate AS "O_ORDERDATE",
+  CASE WHEN o_orderdate <= timestamp '{ORDERS_CUT}' THEN o_orderstatus END AS "O_ORDERSTATUS",
+  CASE WHEN o_orderdate > timestamp '{ORDERS_CUT}' THEN o_orderpriority END AS "O_ORDERPRIORITY" FROM orders"""
+)
+def sync_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Between two loads a column widens, one appears and one goes."""
+    spec = ORDERS.with_(keys=("O_ORDERKEY",))
+    narrow = orders_until(spark, folder, ORDERS_CUT).select(
+        "o_orderkey", F.col("o_custkey").cast("int").alias("o_custkey"), "o_orderdate", "o_orderstatus"
+    )
+    current = {"now": narrow}
+    when = [datetime(2024, 2, 1, 3)]
+    runner = _runner(spark, current, when)
+    _must(runner.run([spec]))
+    wide = F.col("o_custkey").cast("bigint").alias("o_custkey")
+    current["now"] = orders(spark, folder).select("o_orderkey", wide, "o_orderdate", "o_orderpriority")
+    when.append(datetime(2024, 2, 2, 3))
+    _must(runner.run([spec]))
+    return runner.target(spec)
+
+
 @query(
     """SELECT * FROM (VALUES ('full', 'success'), ('incremental', 'success'), ('validate', 'success'),
   ('incremental', 'skipped')) AS r("LOAD_TYPE", "STATUS")

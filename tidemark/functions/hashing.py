@@ -16,16 +16,16 @@ SEPARATOR = "~|~"
 HEX_DIGITS = 15
 
 
-def canonical_text(field: T.StructField) -> Column:
-    """Text of one column, equal on every engine holding the same value."""
+def canonical_text(field: T.StructField, seconds: bool = False) -> Column:
+    """Text of one column: different for different values.
+
+    ``seconds`` cuts timestamps to the second, for a side that keeps no fractions.
+    """
     col, kind = F.col(f"`{field.name}`"), field.dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        text = second_text(col)
+        text = second_text(col) if seconds else col.cast("string")
     elif isinstance(kind, T.BooleanType):
         text = col.cast("int").cast("string")
-    elif isinstance(kind, (T.FloatType, T.DoubleType)):
-        # Engines print doubles differently; a fixed scale is the common form.
-        text = F.coalesce(col.try_cast("decimal(38,6)").cast("string"), col.cast("string"))
     elif isinstance(kind, T.BinaryType):
         text = F.hex(col)
     elif isinstance(kind, T.VariantType):
@@ -35,13 +35,13 @@ def canonical_text(field: T.StructField) -> Column:
     return F.coalesce(text, F.lit(NULL_TEXT))
 
 
-def canonical_row(fields: Iterable[T.StructField]) -> Column:
-    return F.concat_ws(SEPARATOR, *[canonical_text(f) for f in fields])
+def canonical_row(fields: Iterable[T.StructField], seconds: bool = False) -> Column:
+    return F.concat_ws(SEPARATOR, *[canonical_text(f, seconds) for f in fields])
 
 
-def md5_slice(fields: Iterable[T.StructField]) -> Column:
+def md5_slice(fields: Iterable[T.StructField], seconds: bool = False) -> Column:
     """First 60 bits of the MD5 of the row text: the same on any engine with MD5."""
-    digest = F.substring(F.md5(canonical_row(fields)), 1, HEX_DIGITS)
+    digest = F.substring(F.md5(canonical_row(fields, seconds)), 1, HEX_DIGITS)
     return F.conv(digest, 16, 10).cast("long")
 
 
@@ -61,12 +61,12 @@ def row_hash(fields: Iterable[T.StructField]) -> Column:
     return F.xxhash64(*parts)
 
 
-def fingerprint_columns(fields: Iterable[T.StructField]) -> dict[str, Column]:
+def fingerprint_columns(fields: Iterable[T.StructField], seconds: bool = False) -> dict[str, Column]:
     """Aggregates ``count``, ``bit_xor`` and ``sum`` of a 60-bit slice of each row's MD5.
 
     XOR alone cannot see rows that occur an even number of times; count and sum can.
     """
-    slice_ = md5_slice(fields)
+    slice_ = md5_slice(fields, seconds)
     return {
         "rows": F.count(slice_),
         "hash_xor": F.coalesce(F.bit_xor(slice_), F.lit(0).cast("long")),

@@ -13,6 +13,7 @@ from tidemark.functions import ntz
 
 NTZ = T.TimestampNTZType()
 
+# Column names and types of the stored layers and of the run log.
 AUDIT_FIELDS = (
     T.StructField("_LOAD_TS", NTZ),
     T.StructField("_SRC_FILE", T.StringType()),
@@ -138,6 +139,7 @@ class SourceColumn:
 MAX_PRECISION = 38
 INTEGER_TYPES = frozenset({"tinyint", "smallint", "mediumint", "int", "integer", "bigint"})
 
+# Source type names.
 _BY_NAME: dict[str, T.DataType] = {
     **{name: T.LongType() for name in (*INTEGER_TYPES, "year")},
     **{name: T.DoubleType() for name in ("float", "double", "real")},
@@ -178,7 +180,7 @@ def spark_type(col: SourceColumn) -> T.DataType:
 
 def target_schema(columns: Sequence[SourceColumn]) -> T.StructType:
     if not columns:
-        raise ValueError("the source reports no columns; check the table name and grants")
+        raise ValueError("no column metadata for this table: it may not exist or not be readable")
     return T.StructType([T.StructField(c.name.upper(), spark_type(c)) for c in columns])
 
 

@@ -40,6 +40,33 @@ def detect_drift(source: T.StructType, target: T.StructType | None) -> Drift:
     )
 
 
+def widens(have: T.DataType, want: T.DataType) -> bool:
+    """Whether every value of ``have`` is one of ``want``, and files of the first read as the second."""
+    whole = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+    digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
+    if type(have) in whole and type(want) in whole:
+        return whole.index(type(have)) < whole.index(type(want))
+    if isinstance(want, T.DecimalType):
+        if isinstance(have, T.DecimalType):
+            return want != have and want.scale >= have.scale and want.precision - want.scale >= have.precision - have.scale
+        return type(have) in digits and want.precision - want.scale >= digits[type(have)]
+    if isinstance(want, T.DoubleType):
+        return isinstance(have, (T.FloatType, T.ByteType, T.ShortType, T.IntegerType))
+    return isinstance(have, T.DateType) and isinstance(want, T.TimestampNTZType)
+
+
+def widened(schema: T.StructType, source: T.StructType, reset: bool = False) -> T.StructType:
+    """``schema`` with the source's type where that is wider; with ``reset`` wherever it differs."""
+    offered = {f.name.upper(): f.dataType for f in source.fields}
+    business = {f.name for f in business_fields(schema)}
+
+    def kind(field: T.StructField) -> T.DataType:
+        new = offered.get(field.name.upper(), field.dataType)
+        return new if field.name in business and (reset or widens(field.dataType, new)) else field.dataType
+
+    return T.StructType([T.StructField(f.name, kind(f), f.nullable) for f in schema.fields])
+
+
 def evolve(schema: T.StructType, drift: Drift) -> T.StructType:
     """``schema`` with the added columns after its business columns."""
     have = {f.name.upper() for f in schema.fields}

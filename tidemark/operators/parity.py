@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions import fingerprint_columns, second_text
 from tidemark.layers import business_columns, is_deleted
 
+# Labels of the boards.
 SILVER_LABEL, SCD2_LABEL = "SILVER", "SCD2 (current)"
 STAGING_SUFFIX = "_STAGE_TMP"
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import change_time, ntz, row_hash
 from tidemark.layers import DIM_KEY, NTZ, business_columns, is_deleted
-from tidemark.operators.dedupe import latest_per_key
+from tidemark.operators.dedupe import key_struct, latest_per_key
 from tidemark.staging import stage
 
 HIGH_DATE = "9999-12-31 00:00:00"
@@ -40,12 +40,14 @@ def scd2_source(
     track: Sequence[str] = (),
     hash_function: HashFunction = row_hash,
 ) -> DataFrame:
-    """Latest RAW row per key with delete flag, delete time, change time and hash."""
+    """Latest RAW row per key with the keys as ``_key``, delete flag, delete time, change time and hash."""
     business = business_columns(raw)
     fields = {f.name: f for f in raw.schema.fields}
-    latest = latest_per_key(raw.select(*business, "_IS_DELETED", "_DELETED_AT"), keys, watermark)
+    keyed = raw.select(*business, "_IS_DELETED", "_DELETED_AT", key_struct(keys).alias("_key"))
+    latest = latest_per_key(keyed, keys, watermark, by="_key")
     return latest.select(
         *business,
+        "_key",
         is_deleted().alias("_is_del"),
         F.col("_DELETED_AT").alias("_del_at"),
         change_time(raw.schema, watermark, as_of).alias("_ct"),
@@ -76,12 +78,11 @@ def scd2_changes(
     """
     business = [c for c in business_columns(current)]
     surrogate = DIM_KEY.name in current.columns
-    target = current.select(*[F.col(f"`{c}`").alias(f"_t_{c}") for c in current.columns], F.lit(True).alias("_old"))
-    match = None
-    for k in keys:
-        equal = F.col(f"`_t_{k}`") == F.col(f"`{k}`")
-        match = equal if match is None else match & equal
-    joined = target.join(source, match, "full_outer")
+    target = current.select(
+        *[F.col(f"`{c}`").alias(f"_t_{c}") for c in current.columns], F.lit(True).alias("_old"), key_struct(keys).alias("_t_key")
+    )
+    # NULL keys are one key, as in the latest-row window, so a rerun changes nothing.
+    joined = target.join(source, F.col("_t_key") == F.col("_key"), "full_outer")
 
     has_source = F.col("_is_del").isNotNull()
     has_target = F.col("_old").isNotNull()
@@ -137,7 +138,7 @@ def empty_dimension(source: DataFrame, surrogate: bool = False) -> DataFrame:
     hash_type = source.schema["_hash"].dataType
     return source.limit(0).select(
         *([F.lit(None).cast("long").alias(DIM_KEY.name)] if surrogate else []),
-        *[F.col(f"`{c}`") for c in source.columns if c not in ("_is_del", "_del_at", "_ct", "_hash")],
+        *[F.col(f"`{c}`") for c in source.columns if c not in ("_is_del", "_del_at", "_ct", "_hash", "_key")],
         F.lit(None).cast(NTZ).alias("EFF_FROM"),
         F.lit(None).cast(NTZ).alias("EFF_TO"),
         F.lit(None).cast("boolean").alias("IS_CURRENT"),
@@ -223,6 +224,26 @@ def as_of_versions(dim: DataFrame, moment: object, inclusive: bool = False) -> D
 
 
 LONG_HISTORY = 16
+CUTS = 64  # slices of a long history, and again of a slice that is still long
+JOINS = ("inner", "left", "left_semi", "left_anti")
+
+
+def _seconds(col: Column) -> Column:
+    # Built from date parts: a cast to an instant is not monotonic around clock changes.
+    day = F.unix_date(F.to_date(col)).cast("long")
+    return day * 86_400 + F.hour(col) * 3_600 + F.minute(col) * 60 + F.second(col)
+
+
+def _starts_by_rank(versions: DataFrame, keys: Sequence[str], longer_than: int, name: str) -> DataFrame:
+    """Per key with more versions than that, the starts that cut them into CUTS slices of about equal number."""
+    ranks = F.array(*[F.lit(n / CUTS) for n in range(1, CUTS)])
+    found = versions.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_start", ranks, 1000).alias(name))
+    return stage(found.where(F.col("_n") > longer_than).select(*keys, name), "long-history")
+
+
+def _slice(at: Column, starts: str) -> Column:
+    """Slice that holds a moment; 0 where the history is not cut."""
+    return F.coalesce(F.size(F.filter(starts, lambda s: s <= at)), F.lit(0))
 
 
 def fact_lookup(
@@ -237,56 +258,46 @@ def fact_lookup(
     """Join facts to the dimension version in force at the fact's ``moment``.
 
     ``on`` pairs fact and dimension key columns; the dimension must not repeat a
-    fact column name.  An equi-join on the key with the interval as a residual
-    test compares a fact with every version of its key.  That is fine for short
-    histories.  Keys with more than ``long_history`` versions get their time axis
-    cut into about ``versions / 4`` slices; their facts and versions also join
-    on the slice, so the pairs tested stay close to the number of facts.  The set of
-    such keys is staged, so Catalyst broadcasts it only if its files are small.
+    fact column name.  ``how`` keeps to JOINS, whose rows come from facts: a
+    version is seen once per slice, so joins that keep unmatched versions have no
+    meaning here.
+
+    An equi-join on the key with the interval as a residual test compares a fact
+    with every version of its key.  Keys with more than ``long_history`` versions
+    therefore get their history cut into slices of equal numbers of versions,
+    and a slice that is still long is cut once more; facts and versions also join
+    on the slice, however the versions lie in time.  The cuts, a few numbers per
+    long key, are staged, so Catalyst broadcasts them only if their files are small.
     """
+    how = how.lower().replace("leftsemi", "left_semi").replace("leftanti", "left_anti").replace("left_outer", "left")
+    if how not in JOINS:
+        raise ValueError(f"how must be one of {', '.join(JOINS)}")
     fact_keys, dim_keys = [f for f, _ in on], [d for _, d in on]
     valid = dim.where(F.col("EFF_FROM") <= F.col("EFF_TO") if inclusive else F.col("EFF_FROM") < F.col("EFF_TO"))
-    long = stage(
-        valid.groupBy(*[F.col(f"`{d}`").alias(f"_h{i}") for i, d in enumerate(dim_keys)])
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min("EFF_FROM").alias("_first"),
-            F.max("EFF_FROM").alias("_last"),
-        )
-        .where(F.col("_n") > long_history),
-        "long-history",
-    )
+    own = [f"_h{i}" for i in range(len(on))]
+    starts = valid.select(*[F.col(f"`{d}`").alias(h) for d, h in zip(dim_keys, own)], _seconds(F.col("EFF_FROM")).alias("_start"))
+    first = _starts_by_rank(starts, own, long_history, "_cuts")
+    inner = starts.join(first, own).withColumn("_part", _slice(F.col("_start"), "_cuts"))
+    second = _starts_by_rank(inner, [*own, "_part"], max(long_history, CUTS), "_fine")
+
+    def cut(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        same = [F.col(f"`{k}`") == F.col(h) for k, h in zip(keys, own)]
+        return df.join(first, same, "left")
+
+    def refine(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        fine = second.withColumnRenamed("_part", "_of")
+        same = [F.col(f"`{k}`") == F.col(h) for k, h in zip(keys, own)]
+        return df.drop(*own).join(fine, [*same, F.col("_part") == F.col("_of")], "left")
+
+    at = _seconds(F.col(f"`{moment}`"))
+    facts = refine(cut(fact, fact_keys).withColumn("_part", _slice(at, "_cuts")), fact_keys)
+    facts = facts.select(*fact.columns, F.col("_part").alias("_fact_part"), _slice(at, "_fine").alias("_fact_fine"))
+    begin, end = _seconds(F.col("EFF_FROM")), _seconds(F.col("EFF_TO"))
+    spread = cut(valid, dim_keys).withColumn("_part", F.explode(F.sequence(_slice(begin, "_cuts"), _slice(end, "_cuts"))))
+    fine = F.explode(F.sequence(_slice(begin, "_fine"), _slice(end, "_fine")))
+    versions = refine(spread, dim_keys).select(*dim.columns, F.col("_part").alias("_dim_part"), fine.alias("_dim_fine"))
     match = _covers(F.col(f"`{moment}`"), inclusive)
     for f, d in on:
         match = match & (F.col(f"`{f}`") == F.col(f"`{d}`"))
-    if long.isEmpty():
-        return fact.join(valid, match, how)
-
-    def seconds(col: Column) -> Column:
-        # Built from date parts: a cast to an instant is not monotonic around clock changes.
-        day = F.unix_date(F.to_date(col)).cast("long")
-        return day * 86_400 + F.hour(col) * 3_600 + F.minute(col) * 60 + F.second(col)
-
-    width = F.greatest(F.ceil((seconds(F.col("_last")) - seconds(F.col("_first"))) * 4 / F.col("_n")), F.lit(1))
-
-    def slice_of(col: Column) -> Column:
-        """Slice number, clipped to the span of version starts; 0 for short histories."""
-        inside = F.least(F.greatest(col, F.col("_first")), F.col("_last"))
-        return F.coalesce(F.floor((seconds(inside) - seconds(F.col("_first"))) / width), F.lit(0))
-
-    def with_span(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        same = None
-        for i, k in enumerate(keys):
-            equal = F.col(f"`{k}`") == F.col(f"_h{i}")
-            same = equal if same is None else same & equal
-        return df.join(long, same, "left")
-
-    fact_sliced = with_span(fact, fact_keys).select(
-        *fact.columns, slice_of(F.col(f"`{moment}`")).alias("_fact_slice")
-    )
-    dim_sliced = with_span(valid, dim_keys).select(
-        *dim.columns,
-        F.explode(F.sequence(slice_of(F.col("EFF_FROM")), slice_of(F.col("EFF_TO")))).alias("_dim_slice"),
-    )
-    joined = fact_sliced.join(dim_sliced, match & (F.col("_fact_slice") == F.col("_dim_slice")), how)
-    return joined.drop("_fact_slice", "_dim_slice")
+    match = match & (F.col("_fact_part") == F.col("_dim_part")) & (F.col("_fact_fine") == F.col("_dim_fine"))
+    return facts.join(versions, match, how).drop("_fact_part", "_fact_fine", "_dim_part", "_dim_fine")

@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.layers import business_columns, is_deleted, live
-from tidemark.operators.dedupe import latest_per_key
+from tidemark.operators.dedupe import key_struct, latest_per_key
 
 
 def silver_source(raw: DataFrame, keys: Sequence[str], watermark: str | None) -> DataFrame:
-    """Latest RAW row per key, deleted or not, with its flag as ``_is_del``."""
+    """Latest RAW row per key, deleted or not, with its flag as ``_is_del`` and its keys as ``_key``."""
     business = business_columns(raw)
-    flagged = raw.select(*business, is_deleted().alias("_is_del"))
-    return latest_per_key(flagged, keys, watermark)
+    flagged = raw.select(*business, is_deleted().alias("_is_del"), key_struct(keys).alias("_key"))
+    return latest_per_key(flagged, keys, watermark, by="_key")
 
 
 def build_silver(
@@ -43,13 +43,10 @@ def build_silver(
     if silver is None or snapshot:
         return source.where(~F.col("_is_del")).select(*columns)
 
-    target = silver.select(*[F.col(f"`{c}`").alias(f"_t_{c}") for c in columns], F.lit(True).alias("_old"))
-    match = None
-    for k in keys:
-        equal = F.col(f"`_t_{k}`") == F.col(f"`{k}`")
-        match = equal if match is None else match & equal
+    target = silver.select(*[F.col(f"`{c}`").alias(f"_t_{c}") for c in columns], key_struct(keys).alias("_t_key"))
+    # NULL keys are one key, as in the latest-row window, so a rerun changes nothing.
     # _is_del is never NULL in the source, so a NULL marks a target-only row.
-    joined = target.join(source, match, "full_outer").where(
+    joined = target.join(source, F.col("_t_key") == F.col("_key"), "full_outer").where(
         F.col("_is_del").isNull() | ~F.col("_is_del")
     )
     return joined.select(

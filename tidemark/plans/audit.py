@@ -16,6 +16,7 @@ from tidemark.spec import TableSpec
 
 ERROR_LENGTH = 4000
 
+
 class AuditLog:
     """The run log at ``base/META/RUN_LOG``, one row per table and run.
 
@@ -44,8 +45,10 @@ class AuditLog:
         try:
             reader = self.spark.read.schema(RUN_LOG_SCHEMA).option("recursiveFileLookup", "true")
             return reader.parquet(self.path)
-        except AnalysisException:  # nothing written yet
-            return self.spark.createDataFrame([], RUN_LOG_SCHEMA)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], RUN_LOG_SCHEMA)  # nothing written yet
 
     def watermarks(self) -> DataFrame:
         """Newest stored watermark per table."""

@@ -133,8 +133,17 @@ class TableStore:
         stream = fs.create(draft)
         stream.write(bytearray(body, "utf-8"))
         stream.close()
-        if fs.exists(final) or not fs.rename(draft, final):
-            raise RuntimeError(f"{self.root(spec, layer)}: version {version.number} was committed by another run")
+        # A rename that never overwrites: of two writers one fails, and takes its draft away.
+        context = self.spark.sparkContext
+        hadoop = context._jvm.org.apache.hadoop.fs
+        option = getattr(hadoop, "Options$Rename")
+        never = context._gateway.new_array(option, 1)
+        never[0] = option.NONE
+        try:
+            hadoop.FileContext.getFileContext(fs.getUri(), context._jsc.hadoopConfiguration()).rename(draft, final, never)
+        except Exception as error:
+            fs.delete(draft, False)
+            raise RuntimeError(f"{self.root(spec, layer)}: version {version.number} was committed by another run") from error
 
     def read(
         self,
@@ -176,12 +185,15 @@ class TableStore:
         part: Column | None = None,
         notes: dict | None = None,
         count: bool = True,
+        full: bool = False,
     ) -> int | None:
         """Write ``df`` as the next version; with ``count`` return the rows written.
 
         ``keep`` selects the directories of the previous version that stay.  With
         several buckets the rows are rebalanced by bucket: adaptive execution then
-        splits a bucket that is too large for one task and merges tiny ones.
+        splits a bucket that is too large for one task and merges tiny ones.  The
+        version's notes say which version last changed rows (``data``), and which
+        last held a complete snapshot (``full``); schema changes leave both.
         """
         before = self.version(spec, layer)
         if before is not None and before.buckets != spec.buckets and any(map(keep, before.pieces)):
@@ -204,7 +216,9 @@ class TableStore:
             if b.startswith("_bucket=")
         ]
         kept = [p for p in before.pieces if keep(p)] if before is not None else []
-        carried = {**(before.notes if before is not None else {}), **(notes or {})}
+        carried = {**(before.notes if before is not None else {}), **(notes or {}), "data": number}
+        if full:
+            carried["full"] = number
         self._publish(
             spec, layer, Version(number, T.StructType(df.schema.fields), (*kept, *written), spec.buckets, carried)
         )
@@ -222,11 +236,24 @@ class TableStore:
             spec, layer, Version(before.number + 1, schema, before.pieces, before.buckets, before.notes)
         )
 
+    def annotate(self, spec: TableSpec, layer: str, notes: dict) -> None:
+        """Change the notes alone."""
+        before = self.version(spec, layer)
+        if any(before.notes.get(k) != v for k, v in notes.items()):
+            merged = {**before.notes, **notes}
+            self._publish(spec, layer, Version(before.number + 1, before.schema, before.pieces, before.buckets, merged))
+
     def expire(self, spec: TableSpec, layer: str, keep_versions: int = 2) -> int:
-        """Drop manifests but the newest ``keep_versions`` and the directories only they used."""
+        """Drop manifests but the newest ``keep_versions`` and the directories only they used.
+
+        Segments of failed writes go too, once a later version exists: a segment is
+        named after the version it was written for.
+        """
         folder, data = f"{self.root(spec, layer)}/versions", f"{self.root(spec, layer)}/data"
-        known = sorted(int(n[1:-5]) for n in self._names(folder) if n.startswith("v"))
+        known = sorted(int(n[1:-5]) for n in self._names(folder) if n.startswith("v") and n.endswith(".json"))
         retained = known[-keep_versions:]
+        if not retained:
+            return 0
         needed = {p.path for n in retained for p in self.version(spec, layer, n).pieces}
         stale = {
             p.path for n in known[:-keep_versions] for p in self.version(spec, layer, n).pieces
@@ -237,4 +264,10 @@ class TableStore:
         for path in stale:
             target, fs = self._fs(f"{data}/{path}")
             fs.delete(target, True)
+        used = {p.split("/", 1)[0] for p in needed}
+        for name in self._names(data):
+            number = name.removeprefix("_seg=").split("-", 1)[0]
+            if name not in used and number.isdigit() and int(number) < known[-1]:
+                target, fs = self._fs(f"{data}/{name}")
+                fs.delete(target, True)
         return len(stale)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 import uuid
 from collections.abc import Callable, Iterable, Sequence
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 from tidemark.functions import typed
 from tidemark.layers import business_fields, conform, scd2_schema, upper_names
 from tidemark.operators.dedupe import latest_per_key
-from tidemark.operators.drift import Drift, detect_drift, evolve
+from tidemark.operators.drift import detect_drift, evolve, widened
 from tidemark.operators.merge import replace_raw, upsert_raw
 from tidemark.operators.parity import BoardEntry, parity_report, watermark_text
 from tidemark.operators.reconcile import count_hits, missing_keys, soft_delete
@@ -34,6 +35,9 @@ RAW = "raw"
 SUCCESS, FAILED, SKIPPED, MISMATCH = "success", "failed", "skipped", "mismatch"
 
 Source = Callable[[TableSpec], DataFrame]
+Ceiling = Callable[[TableSpec], datetime]
+
+log = logging.getLogger("tidemark")
 
 
 def wall_clock() -> datetime:
@@ -57,7 +61,13 @@ class RunResult:
 class Sync:
     """Keeps the layers of many tables in step with their sources.
 
-    ``source`` returns the current source table of a spec as a DataFrame.
+    ``source`` returns the current source table of a spec as a DataFrame; if it has
+    a method ``window(spec, low, high)``, that reads the rows of a window.
+    ``ceiling`` is the source's own wall clock: watermarks are in source time, so
+    windows end ``lag_minutes`` below it (see ``sources.clocks``).  Without one,
+    the source is taken to keep the time of ``clock``, which stamps audit columns.
+    After a run of a table the versions of its layers but the newest
+    ``keep_versions`` are removed; frames read from older ones stop working.
     Tables are independent, so they run side by side as jobs of one session; a
     failing table is logged and does not stop the others.
     """
@@ -72,6 +82,8 @@ class Sync:
         lookback_minutes: int = 0,
         parallel: int = 4,
         revive: bool = False,
+        ceiling: Ceiling | None = None,
+        keep_versions: int = 10,
     ):
         self.spark = spark
         self.store = store
@@ -82,6 +94,8 @@ class Sync:
         self.lookback_minutes = lookback_minutes
         self.parallel = parallel
         self.revive = revive
+        self.ceiling = ceiling
+        self.keep_versions = keep_versions
 
     # -- entry points -------------------------------------------------------
 
@@ -175,7 +189,27 @@ class Sync:
             return RunResult(batch, list(pool.map(lambda spec: work(spec, batch), specs)))
 
     def _read_source(self, spec: TableSpec) -> DataFrame:
-        return upper_names(self.source(spec))
+        return _demanded(spec, upper_names(self.source(spec)))
+
+    def _read_window(self, spec: TableSpec, low: str | None, high: str | None) -> DataFrame:
+        reader = getattr(self.source, "window", None)
+        return self._read_source(spec) if reader is None else _demanded(spec, upper_names(reader(spec, low, high)))
+
+    def _behind(self, spec: TableSpec) -> tuple[bool, bool]:
+        """Whether the target was built from older RAW rows, and whether a full load came between.
+
+        RAW and target are two commits; a run that fails between them leaves the
+        target behind, and the next run has to rebuild all of it.
+        """
+        raw, target = self.store.version(spec, RAW), self.store.version(spec, spec.target_layer)
+        if raw is None or target is None:
+            return raw is not None, False
+        built = target.notes.get("raw_data", 0)
+        return built != raw.notes.get("data", 0), raw.notes.get("full", 0) > built
+
+    def _tidy(self, spec: TableSpec) -> None:
+        for layer in (RAW, spec.target_layer):
+            self.store.expire(spec, layer, self.keep_versions)
 
     def _record(self, spec: TableSpec, batch: str, load_type: str, engine: str) -> dict:
         return {
@@ -200,6 +234,8 @@ class Sync:
             steps(record)
             if record["STATUS"] in (SUCCESS, SKIPPED):
                 record["FAILED_STEP"] = None
+            for text in record.get("WARNINGS", ()):
+                log.warning("%s.%s: %s", record["SOURCE_DB"], record["SOURCE_TABLE"], text)
         except Exception as error:  # noqa: BLE001 - one table must not stop the run
             record["STATUS"] = FAILED
             record["ERROR_MESSAGE"] = str(error)
@@ -221,60 +257,79 @@ class Sync:
 
         def steps(rec: dict) -> None:
             as_of = self.clock()
-            rec["FAILED_STEP"] = "extract"
-            source = self._read_source(spec)
-            rec["FAILED_STEP"] = "schema_drift"
-            self._absorb_drift(spec, source.schema)
+            behind, snapshot = self._behind(spec)
             if full:
+                rec["FAILED_STEP"] = "extract"
+                source = self._read_source(spec)
+                rec["FAILED_STEP"] = "schema_drift"
+                shape = self._absorb_drift(spec, source.schema, rec, full=True)
                 rec["FAILED_STEP"] = "load_full"
-                touched = None
-                snapshot = self._fit(spec, source)
+                touched, snapshot = None, True
                 rec["ROWS_RAW"] = rec["ROWS_EXTRACTED"] = self.store.commit(
-                    spec, RAW, replace_raw(snapshot, as_of, batch, _origin())
+                    spec, RAW, replace_raw(_fitted(source, shape), as_of, batch, _origin()), full=True
                 )
             else:
                 rec["FAILED_STEP"] = "extract_window"
-                low, high = window_bounds(as_of, last, self.lag_minutes, self.lookback_minutes)
+                now = self.ceiling(spec) if self.ceiling is not None else as_of
+                low, high = window_bounds(now, last, self.lag_minutes, self.lookback_minutes)
                 rec["WATERMARK_TO"] = high
+                source = self._read_window(spec, low, high)
+                rec["FAILED_STEP"] = "schema_drift"
+                shape = self._absorb_drift(spec, source.schema, rec, full=False)
+                rec["FAILED_STEP"] = "extract_window"
                 window = incremental_window(source, spec.watermark_col, low, high)
-                landed = self._land(spec, self._fit(spec, window))
+                landed = self._land(spec, _fitted(window, shape))
                 rec["ROWS_EXTRACTED"] = landed.count()
-                if rec["ROWS_EXTRACTED"] == 0:
-                    rec["STATUS"] = SKIPPED
+                touched: list[int] | None = None
+                if rec["ROWS_EXTRACTED"]:
+                    rec["FAILED_STEP"] = "merge"
+                    if not spec.keys:
+                        raise ValueError(f"{spec.label}: an incremental merge needs keys")
+                    delta = stage(latest_per_key(landed, spec.keys, spec.watermark_col), "delta")
+                    sizes = bucket_sizes(delta, spec)
+                    rec["ROWS_RAW"] = sum(sizes.values())
+                    touched = sorted(sizes) if bucketed(spec) else None
+                    raw = self.store.read(spec, RAW, buckets=touched)
+                    merged = upsert_raw(raw, delta, spec.keys, as_of, batch, revive=self.revive)
+                    self.store.commit(spec, RAW, merged, keep=_outside(touched), count=False)
+                elif not behind:
+                    rec["STATUS"], rec["ERROR_MESSAGE"] = SKIPPED, "no rows in the window"
                     return
-                rec["FAILED_STEP"] = "merge"
-                if not spec.keys:
-                    raise ValueError(f"{spec.label}: an incremental merge needs keys")
-                delta = stage(latest_per_key(landed, spec.keys, spec.watermark_col), "delta")
-                sizes = bucket_sizes(delta, spec)
-                rec["ROWS_RAW"] = sum(sizes.values())
-                touched = sorted(sizes) if bucketed(spec) else None
-                raw = self.store.read(spec, RAW, buckets=touched)
-                merged = upsert_raw(raw, delta, spec.keys, as_of, batch, revive=self.revive)
-                self.store.commit(spec, RAW, merged, keep=_outside(touched), count=False)
             rec["FAILED_STEP"] = "build_target"
-            rec["ROWS_SILVER"] = self._build_target(spec, as_of, batch, touched, snapshot=full)
+            rec["ROWS_SILVER"] = self._build_target(spec, as_of, batch, None if behind else touched, snapshot)
             rec["FAILED_STEP"] = "watermark"
-            rec["WATERMARK_TO"] = self._newest_watermark(spec, touched, None if full else last)
+            if full or rec["ROWS_EXTRACTED"]:
+                rec["WATERMARK_TO"] = self._newest_watermark(spec, touched, None if full else last)
+            else:
+                rec["WATERMARK_TO"] = last
+            self._tidy(spec)
             rec["STATUS"] = SUCCESS
 
         return self._guarded(record, steps)
 
-    def _absorb_drift(self, spec: TableSpec, source: T.StructType) -> Drift:
-        """Add new source columns to RAW and the target; existing rows read NULL."""
-        raw = self.store.version(spec, RAW)
-        drift = detect_drift(source, raw.schema if raw is not None else None)
-        if drift.added:
-            for layer in (RAW, spec.target_layer):
-                version = self.store.version(spec, layer)
-                if version is not None:
-                    self.store.evolve(spec, layer, evolve(version.schema, drift))
-        return drift
-
-    def _fit(self, spec: TableSpec, source: DataFrame) -> DataFrame:
-        """Source rows in RAW's column order and types; the first load sets them."""
+    def _absorb_drift(self, spec: TableSpec, source: T.StructType, rec: dict, full: bool) -> T.StructType | None:
+        """Bring the layers to the source's columns; returns the business columns to load, ``None`` for the first load.
+
+        New columns read NULL in existing rows and a wider type takes the stored
+        values; a full load takes whatever types the source has now, except in a
+        dimension, whose history keeps what it can hold.  Columns the source no
+        longer has stay, and are reported.
+        """
         raw = self.store.version(spec, RAW)
-        return source if raw is None else conform(source, T.StructType(business_fields(raw.schema)))
+        if raw is None:
+            return None
+        drift = detect_drift(source, raw.schema)
+        if drift.dropped:
+            rec.setdefault("WARNINGS", []).append(f"gone from the source, NULL from now on: {', '.join(drift.dropped)}")
+        for layer in (RAW, spec.target_layer):
+            version = self.store.version(spec, layer)
+            if version is None:
+                continue
+            schema = widened(evolve(version.schema, drift), source)
+            if schema != version.schema:
+                self.store.evolve(spec, layer, schema)
+        reset = full and spec.table_type != SCD2
+        return T.StructType(business_fields(widened(evolve(raw.schema, drift), source, reset)))
 
     def _land(self, spec: TableSpec, window: DataFrame) -> DataFrame:
         """Write the window to landing files, so the source is read exactly once."""
@@ -292,7 +347,11 @@ class Sync:
             return self._build_dimension(spec, raw, as_of, batch, touched, snapshot)
         silver = self.store.read(spec, spec.target_layer, buckets=touched)
         built = build_silver(silver, raw, spec.keys, spec.watermark_col, snapshot)
-        return self.store.commit(spec, spec.target_layer, built, keep=_outside(touched))
+        return self.store.commit(spec, spec.target_layer, built, keep=_outside(touched), notes=self._origin_of(spec))
+
+    def _origin_of(self, spec: TableSpec) -> dict:
+        """Notes that say which RAW rows a target was built from."""
+        return {"raw_data": self.store.version(spec, RAW).notes.get("data", 0)}
 
     def _build_dimension(
         self, spec: TableSpec, raw: DataFrame, as_of: datetime, batch: str, touched: list[int] | None, snapshot: bool
@@ -309,21 +368,25 @@ class Sync:
         source = scd2_source(raw, spec.keys, spec.watermark_col, as_of, spec.track_columns)
         changes = stage(scd2_changes(current, source, spec.keys, as_of, batch, snapshot=snapshot), "versions")
         sizes = {r["_op"]: r["n"] for r in changes.groupBy("_op").agg(F.count(F.lit(1)).alias("n")).collect()}
-        if before and not sizes.get(NEW) and not sizes.get(CLOSED_OP):
+        moved = before is not None and before.buckets != spec.buckets
+        if before and not moved and not sizes.get(NEW) and not sizes.get(CLOSED_OP):
+            self.store.annotate(spec, SCD2, self._origin_of(spec))
             return 0
         base = before.notes.get("max_key", 0) if before else 0
         rows = changes.where(F.col("_op") != NEW)
         if sizes.get(NEW):
             new = assign_surrogate(changes.where(F.col("_op") == NEW), spec.keys, base)
             rows = rows.unionByName(new)
-        drop_current = _outside(touched)
+        rows, drop_current = rows.drop("_op"), _outside(touched)
+        if moved and touched is None:  # another number of buckets: closed versions move with the others
+            rows = rows.unionByName(self.store.read(spec, SCD2, part=CLOSED))
         self.store.commit(
             spec,
             SCD2,
-            rows.drop("_op"),
-            keep=lambda piece: piece.part == CLOSED or drop_current(piece),
+            rows,
+            keep=lambda piece: not (moved and touched is None) and (piece.part == CLOSED or drop_current(piece)),
             part=F.when(F.col("IS_CURRENT"), F.lit(CURRENT)).otherwise(F.lit(CLOSED)),
-            notes={"max_key": base + sizes.get(NEW, 0)},
+            notes={"max_key": base + sizes.get(NEW, 0), **self._origin_of(spec)},
             count=False,
         )
         return sizes.get(NEW, 0) + sizes.get(CLOSED_OP, 0)
@@ -352,21 +415,26 @@ class Sync:
         def steps(rec: dict) -> None:
             rec["FAILED_STEP"] = "reconcile"
             if not spec.keys:
-                rec["STATUS"] = SKIPPED
+                rec["STATUS"], rec["ERROR_MESSAGE"] = SKIPPED, "the table has no keys to compare"
                 return
             as_of = self.clock()
+            behind, snapshot = self._behind(spec)
             source, raw = self._read_source(spec), self.store.read(spec, RAW)
             if not allow_empty_source and source.isEmpty():
                 raise ValueError(f"{spec.label}: the source is empty; refusing to delete every row")
             missing = stage(missing_keys(raw, source, spec.keys), "missing")
-            if not missing.isEmpty():
+            touched: list[int] | None = None
+            vanished = not missing.isEmpty()
+            if vanished:
                 touched = touched_buckets(missing, spec)
                 part = self.store.read(spec, RAW, buckets=touched)
                 rec["ROWS_RAW"] = count_hits(part, missing, spec.keys)
                 flagged = soft_delete(part, missing, spec.keys, as_of)
                 self.store.commit(spec, RAW, flagged, keep=_outside(touched), count=False)
+            if vanished or behind:
                 rec["FAILED_STEP"] = "build_target"
-                rec["ROWS_SILVER"] = self._build_target(spec, as_of, batch, touched, snapshot=False)
+                rec["ROWS_SILVER"] = self._build_target(spec, as_of, batch, None if behind else touched, snapshot)
+                self._tidy(spec)
             rec["STATUS"] = SUCCESS
 
         return self._guarded(record, steps)
@@ -381,8 +449,9 @@ class Sync:
             raw = self.store.read(spec, RAW)
             if raw is None:
                 raise ValueError(f"{spec.label}: never loaded")
+            behind, _ = self._behind(spec)
             report = parity_report(
-                self._fit(spec, self._read_source(spec)),
+                _fitted(self._read_source(spec), T.StructType(business_fields(raw.schema))),
                 raw,
                 self.target(spec),
                 spec.watermark_col,
@@ -393,19 +462,21 @@ class Sync:
                 "ROWS_EXTRACTED": report["source"],
                 "ROWS_RAW": report["raw_live"],
                 "ROWS_SILVER": report["target"],
-                "STATUS": SUCCESS if report["ok"] else MISMATCH,
+                "STATUS": SUCCESS if report["ok"] and not behind else MISMATCH,
             }
-            if not report["ok"]:
-                rec["ERROR_MESSAGE"] = _mismatch(report.asDict())
+            if not report["ok"] or behind:
+                rec["ERROR_MESSAGE"] = _mismatch(report.asDict(), behind)
 
         return self._guarded(record, steps)
 
 
-def _mismatch(report: dict) -> str:
+def _mismatch(report: dict, behind: bool = False) -> str:
     """Names every failed check."""
     found = []
+    if behind:
+        found.append("the target was built from older RAW rows")
     if not report["count_ok"]:
-        found.append(f"source {report['source']} != raw_live {report['raw_live']} (delta {report['delta']:+d})")
+        found.append(f"{report['source']} rows at the source, {report['raw_live']} live in RAW, off by {report['delta']}")
     if not report["wm_ok"]:
         found.append(f"watermark {report['source_wm']} != {report['raw_wm']}")
     if not report["hash_ok"]:
@@ -413,6 +484,21 @@ def _mismatch(report: dict) -> str:
     return "; ".join(found)
 
 
+def _fitted(source: DataFrame, shape: T.StructType | None) -> DataFrame:
+    """Source rows in the order and types of ``shape``; the first load sets them."""
+    return source if shape is None else conform(source, shape)
+
+
+def _demanded(spec: TableSpec, source: DataFrame) -> DataFrame:
+    """The source, if it has the columns that tell rows apart; NULLs in their place would fold all rows into one."""
+    have = {c.upper() for c in source.columns}
+    watermark = [spec.watermark_col] if spec.watermark_col and spec.load_type != FULL else []
+    absent = [c for c in (*spec.keys, *watermark) if c.upper() not in have]
+    if absent:
+        raise ValueError(f"{spec.label}: the source lacks {', '.join(absent)}")
+    return source
+
+
 def _origin() -> Column:
     """Source file of a row; NULL when it does not come from a file."""
     return F.nullif(F.input_file_name(), F.lit(""))

@@ -7,6 +7,8 @@ built-in string functions.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,7 +57,12 @@ def _unescape(text: Column, letters: list[str]) -> Column:
 
 
 def _encode(col: Column, kind: T.DataType) -> Column:
-    text = col.cast("string")
+    if isinstance(kind, T.VariantType):
+        text = F.to_json(col)  # a cast would drop the quotes of a JSON string
+    elif isinstance(kind, T.BinaryType):
+        text = F.base64(col)
+    else:
+        text = col.cast("string")
     if isinstance(kind, _FREE_TEXT):
         text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
         for letter, char in ESCAPES.items():
@@ -69,15 +76,17 @@ def read_dump(
     schema: T.StructType,
     pattern: str = PATTERN,
     with_file: bool = False,
+    base64: Sequence[str] = (),
 ) -> DataFrame:
     """Read the data files under ``path`` that match ``pattern``, by column position.
 
     A directory without a matching file and a line with the wrong number of
     fields are errors.  One compressed file is one task, so dumps should come in
-    chunks (64 MB is usual).
+    chunks (64 MB is usual).  Binary columns named in ``base64`` are decoded from
+    that form, as ``write_dump`` writes them; others are the bytes of the field.
     """
     lines = spark.read.option("pathGlobFilter", pattern).option("lineSep", "\n").text(path)
-    if len(lines._jdf.inputFiles()) == 0:  # the names themselves stay in the JVM
+    if not _any_file(spark, path, pattern):
         raise FileNotFoundError(f"no {pattern} data files in {path}")
     width = len(schema.fields)
     fields = F.split(F.col("value"), "\t", -1)
@@ -87,19 +96,38 @@ def read_dump(
         ).cast("array<string>")
     )
     parts = lines.select(checked.alias("f"), F.col("_metadata.file_path").alias("_SRC_FILE"))
-    text = parts.select(
-        *[_decode(F.col("f")[i], f.dataType).alias(f.name) for i, f in enumerate(schema.fields)], "_SRC_FILE"
-    )
+    coded = {c.upper() for c in base64}
+
+    def field(i: int, f: T.StructField) -> Column:
+        col = _decode(F.col("f")[i], f.dataType)
+        return (F.unbase64(col) if f.name.upper() in coded else col).alias(f.name)
+
+    text = parts.select(*[field(i, f) for i, f in enumerate(schema.fields)], "_SRC_FILE")
     if with_file:
         schema = T.StructType([*schema.fields, T.StructField("_SRC_FILE", T.StringType())])
     return conform(text, schema)
 
 
+def _any_file(spark: SparkSession, path: str, pattern: str) -> bool:
+    """Whether the folder has a matching file; stops at the first."""
+    context = spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    names = hadoop.GlobFilter(pattern)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration()).listStatusIterator(folder)
+    while files.hasNext():
+        status = files.next()
+        if status.isFile() and names.accept(status.getPath()):
+            return True
+    return False
+
+
 def write_dump(df: DataFrame, path: str, compression: str = "none") -> None:
     """Write ``df`` in the dump dialect, one line per row.
 
     Spark reads zstd text but has no built-in codec to write it.  Uncompressed
-    files can be split by the reader, compressed ones cannot.
+    files can be split by the reader, compressed ones cannot.  Text cannot hold
+    every byte, so binary columns are written as base64; name them to ``read_dump``.
     """
     cells = [_encode(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
     line = F.concat_ws("\t", *cells).alias("value")

@@ -17,9 +17,41 @@ def projection(columns: Sequence[SourceColumn]) -> str:
     )
 
 
-def bounds_query(source_db: str, source_table: str, column: str) -> str:
-    """One-row query for the ``bounds`` of a partitioned read."""
-    return f"SELECT MIN(`{column}`) AS lo, MAX(`{column}`) AS hi FROM `{source_db}`.`{source_table}`"
+DEFAULT_READERS = 8
+
+
+def partitioning(
+    columns: Sequence[SourceColumn], keys: Sequence[str], partition_col: str | None, partition_num: int
+) -> tuple[str | None, int]:
+    """Column and number of ranges of a parallel read: as configured, else by the only key if that is an integer."""
+    if partition_col is not None:
+        return partition_col, max(partition_num, 1) if partition_num > 1 else DEFAULT_READERS
+    kinds = {c.name.upper(): c.data_type.lower() for c in columns}
+    if len(keys) == 1 and kinds.get(keys[0].upper()) in INTEGER_TYPES:
+        return keys[0], partition_num if partition_num > 1 else DEFAULT_READERS
+    return None, 1
+
+
+def _where(watermark: str | None, low: str | None, high: str | None) -> str:
+    conditions = []
+    if watermark and low is not None:
+        conditions.append(f"`{watermark}` > '{low}'")
+    if watermark and high is not None:
+        conditions.append(f"`{watermark}` <= '{high}'")
+    return " WHERE " + " AND ".join(conditions) if conditions else ""
+
+
+def bounds_query(
+    source_db: str,
+    source_table: str,
+    column: str,
+    watermark: str | None = None,
+    low: str | None = None,
+    high: str | None = None,
+) -> str:
+    """One-row query for the ``bounds`` of a partitioned read of the window, so that new rows spread over all readers."""
+    what = f"SELECT MIN(`{column}`) AS lo, MAX(`{column}`) AS hi FROM `{source_db}`.`{source_table}`"
+    return what + _where(watermark, low, high)
 
 
 def jdbc_options(
@@ -42,14 +74,7 @@ def jdbc_options(
     timestamp column and its ``bounds`` (one ``min``/``max`` query) are known;
     otherwise one reader is used.  Timestamps stay in source wall-clock time.
     """
-    conditions = []
-    if watermark and low is not None:
-        conditions.append(f"`{watermark}` > '{low}'")
-    if watermark and high is not None:
-        conditions.append(f"`{watermark}` <= '{high}'")
-    query = f"SELECT {projection(columns)} FROM `{source_db}`.`{source_table}`"
-    if conditions:
-        query += " WHERE " + " AND ".join(conditions)
+    query = f"SELECT {projection(columns)} FROM `{source_db}`.`{source_table}`" + _where(watermark, low, high)
     options = {
         "url": url,
         "dbtable": f"({query}) AS src",

@@ -8,6 +8,7 @@ plain scan-exchange-sort shape whose hot partitions adaptive execution can split
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
     made = tempfile.mkdtemp(prefix="tidemark-")
     spark.conf.set(CHECKPOINT_DIR, made)
