@@ -1,0 +1,13 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from tidemark.llm.common import importable  # noqa: E402
+
+
+@pytest.fixture(autouse=True)
+def workers_import_the_package(spark):
+    importable(spark)

@@ -67,7 +67,6 @@ def anchors(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         none = np.zeros(0, np.int64)
         return none, none, none
     a, f, e = map(np.concatenate, (found, firsts, lasts))
-    same = np.append(a[1:] == a[:-1], False)  # cut by a step
-    e[:-1][same[:-1]] = e[1:][same[:-1]]
-    keep = ~np.concatenate([[False], same[:-1]])
-    return a[keep], f[keep], e[keep]
+    # An anchor that steps cut apart is one.
+    new = np.flatnonzero(np.diff(a, prepend=-1))
+    return a[new], f[new], e[np.append(new[1:], a.size) - 1]
