@@ -169,16 +169,27 @@ def scd2_current(spark: SparkSession, folder: str) -> DataFrame:
     return current_versions(_two(spark, folder))
 
 
-@query(f"{THREE} {_shown_sql('d3', "eff_from <= timestamp '1998-06-01' AND eff_to > timestamp '1998-06-01'")}")
+# The last instant at which a version ended: there half-open and closed intervals differ.
+BOUNDARY_SQL = "(SELECT max(eff_to) FROM d3 WHERE eff_to < timestamp '9999-01-01')"
+
+
+def _boundary(dim: DataFrame) -> str:
+    ended = dim.where(F.col("EFF_TO") < F.lit("9999-01-01 00:00:00").cast("timestamp_ntz"))
+    return str(ended.agg(F.max("EFF_TO")).first()[0])
+
+
+@query(f"{THREE} {_shown_sql('d3', f'eff_from <= {BOUNDARY_SQL} AND eff_to > {BOUNDARY_SQL}')}")
 def scd2_as_of(spark: SparkSession, folder: str) -> DataFrame:
     """Versions in force at an instant, end exclusive."""
-    return shown(as_of_versions(_three(spark, folder), "1998-06-01 00:00:00"))
+    dim = stage(_three(spark, folder), "dimension")
+    return shown(as_of_versions(dim, _boundary(dim)))
 
 
-@query(f"{THREE} {_shown_sql('d3', "timestamp '1998-06-01' BETWEEN eff_from AND eff_to")}")
+@query(f"{THREE} {_shown_sql('d3', f'{BOUNDARY_SQL} BETWEEN eff_from AND eff_to')}")
 def scd2_as_of_inclusive(spark: SparkSession, folder: str) -> DataFrame:
     """The same with both ends inclusive."""
-    return shown(as_of_versions(_three(spark, folder), "1998-06-01 00:00:00", inclusive=True))
+    dim = stage(_three(spark, folder), "dimension")
+    return shown(as_of_versions(dim, _boundary(dim), inclusive=True))
 
 
 @query(
