@@ -7,7 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.layers import SourceColumn, conform, raw_schema, scd2_schema, spark_type, target_schema
-from tidemark.sources import incremental_window, jdbc_options, read_by_name, read_dump, window_bounds, write_delta, write_dump
+from tidemark.sources import (
+    SourceSpec,
+    bounds_query,
+    clocks,
+    incremental_window,
+    jdbc_options,
+    read_by_name,
+    read_dump,
+    window_bounds,
+    write_delta,
+    write_dump,
+)
+from tidemark.spec import TableSpec
 
 TEXTS = T.StructType([T.StructField("A", T.StringType()), T.StructField("B", T.StringType())])
 
@@ -178,3 +190,31 @@ def test_layer_schemas():
     ]
     with pytest.raises(ValueError):
         target_schema([])
+
+
+def test_bounds_and_default_ranges_of_a_window():
+    from tidemark.sources.relational import partitioning
+
+    query = bounds_query("shop", "orders", "id", "at", "2024-01-01", "2024-01-02")
+    assert query.endswith("FROM `shop`.`orders` WHERE `at` > '2024-01-01' AND `at` <= '2024-01-02'")
+    assert "WHERE" not in bounds_query("shop", "orders", "id")
+    columns = [SourceColumn("id", "bigint"), SourceColumn("name", "varchar")]
+    assert partitioning(columns, ["ID"], None, 1) == ("ID", 8)
+    assert partitioning(columns, ["NAME"], None, 1) == (None, 1) == partitioning(columns, ["ID", "NAME"], None, 4)
+    assert partitioning(columns, ["NAME"], "ID", 3) == ("ID", 3)
+
+
+def test_json_and_bytes_survive_a_dump(spark, tmp_path):
+    every = "".join(f"{b:02x}" for b in range(256))
+    df = spark.range(1).selectExpr("parse_json('\"1\\\\tabc\"') AS j", f"unhex('{every}') AS b", "cast(NULL AS binary) AS n")
+    write_dump(df, str(tmp_path / "out"))
+    back = read_dump(spark, str(tmp_path / "out"), df.schema, pattern="*.txt", base64=["b", "n"])
+    assert back.selectExpr("to_json(j)", "lower(hex(b))", "n").first()[:] == (df.selectExpr("to_json(j)").first()[0], every, None)
+
+
+def test_clocks_follow_the_zone(spark):
+    from datetime import datetime, timezone
+
+    sources = {("shop", "orders"): SourceSpec("parquet", "/nowhere", zone="America/Los_Angeles")}
+    at = clocks(spark, sources, lambda: datetime(2024, 1, 1, 20, tzinfo=timezone.utc))
+    assert at(TableSpec("shop", "orders", "ORDERS")) == datetime(2024, 1, 1, 12)

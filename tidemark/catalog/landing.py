@@ -84,6 +84,25 @@ def dump_read(spark: SparkSession, folder: str) -> DataFrame:
     return read_dump(spark, path, schema, pattern="*.txt")
 
 
+@query(
+    """SELECT event_id AS "EVENT_ID", json_extract_string(props, '$.k') AS "K", hex(md5(props)) AS "DIGEST" FROM events"""
+)
+def dump_read_types(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON and bytes through the dump dialect and back: every byte value occurs."""
+    events = table(spark, folder, "events").select(
+        F.col("event_id").alias("EVENT_ID"),
+        F.parse_json("props").alias("PROPS"),
+        F.encode(F.md5(F.col("props").cast("binary")), "UTF-8").alias("DIGEST"),
+        F.unhex(F.md5(F.col("props").cast("binary"))).alias("BYTES"),
+    )
+    path = scratch_path(spark, "dump")
+    write_dump(events, path)
+    back = read_dump(spark, path, events.schema, pattern="*.txt", base64=["DIGEST", "BYTES"])
+    same = F.lower(F.hex("BYTES")) == F.decode("DIGEST", "UTF-8")
+    digest = F.when(same, F.hex(F.decode("DIGEST", "UTF-8").cast("binary")))
+    return back.select("EVENT_ID", F.variant_get("PROPS", "$.k", "string").alias("K"), digest.alias("DIGEST"))
+
+
 @query(
     """SELECT l_shipdate AS "L_SHIPDATE", l_orderkey AS "L_ORDERKEY", cast(l_linenumber AS bigint) AS "L_LINENUMBER",
        cast(l_extendedprice AS decimal(18,2)) AS "L_EXTENDEDPRICE", cast(NULL AS varchar) AS "L_COMMENT"

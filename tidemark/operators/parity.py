@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import fingerprint_columns, second_text
 from tidemark.layers import business_columns, is_deleted
+from tidemark.operators.dedupe import latest_per_key
 
 # Labels of the boards.
 SILVER_LABEL, SCD2_LABEL = "SILVER", "SCD2 (current)"
@@ -181,10 +182,21 @@ def _parity(left: str, right: str) -> Column:
     return F.when(F.col(left) == F.col(right), F.lit("ok")).when(F.col(left) != F.col(right), F.lit("differs"))
 
 
-def count_board(entries: Sequence[BoardEntry]) -> DataFrame:
-    """RAW (soft-deleted rows included) against target rows, per table."""
+def count_board(entries: Sequence[BoardEntry], log: DataFrame | None = None) -> DataFrame:
+    """RAW (soft-deleted rows included) against target rows, per table.
+
+    With the run log also the end and the status of each table's newest run.
+    """
     board = _lined_up(_frames(entries, live_only=False, with_source=False), ["raw_rows", "target_rows"])
-    return board.withColumn("match", _parity("raw_rows", "target_rows"))
+    board = board.withColumn("match", _parity("raw_rows", "target_rows"))
+    if log is None:
+        return board
+    newest = latest_per_key(log, ["SOURCE_DB", "SOURCE_TABLE"], "INSERTED_AT", tiebreak=["RUN_ID"]).select(
+        F.concat_ws(".", "SOURCE_DB", "SOURCE_TABLE").alias("table_name"),
+        F.col("RUN_END_UTC").alias("last_sync"),
+        F.col("STATUS").alias("last_status"),
+    )
+    return board.join(newest, "table_name", "left")
 
 
 def parity_board(entries: Sequence[BoardEntry]) -> DataFrame:
