@@ -187,6 +187,7 @@ def anchor_states(docs: DataFrame, cuts: np.ndarray, buckets: int) -> DataFrame:
 
 def open_windows(rows: DataFrame, cuts: np.ndarray) -> DataFrame:
     """``key, starts``: starts of repeated windows among those of open anchors, as bytes; ``rows`` has ``key, text, open``."""
+    homes = cuts.size + 1
     shared = rows.sparkSession.sparkContext.broadcast(cuts)
     kinds = {"word": np.uint64, "more": np.uint32, "at": np.uint32, "flag": np.uint8}
 
@@ -223,15 +224,28 @@ def open_windows(rows: DataFrame, cuts: np.ndarray) -> DataFrame:
         if n.size:
             repeated[left] = np.bincount(n, 1 + (c["flag"][left] & 1))[n] > 1
         rows = np.flatnonzero(repeated)
-        rows = rows[np.argsort(c["key"][rows], kind="stable")]
-        key, at = c["key"][rows], c["at"][rows]
-        starts = np.flatnonzero(runs(key)) if key.size else np.zeros(0, np.int64)
-        pieces = [at[a:b].tobytes() for a, b in zip(starts.tolist(), [*starts[1:].tolist(), key.size])]
-        return pa.table({"key": pa.array(key[starts], pa.int64()), "starts": pa.array(pieces, pa.binary())})
+        home = c["key"][rows] % homes
+        order = np.argsort(home, kind="stable")
+        home, key, at = home[order], c["key"][rows][order], c["at"][rows][order]
+        starts = np.flatnonzero(runs(home))
+        ends = [*starts[1:].tolist(), home.size]
+        cut = [(key[x:y].tobytes(), at[x:y].tobytes()) for x, y in zip(starts.tolist(), ends)]
+        return pa.table({"home": pa.array(home[starts], pa.int64()), "owner": pa.array([k for k, _ in cut], pa.binary()), "at": pa.array([t for _, t in cut], pa.binary())})
+
+    def collect(table: pa.Table) -> pa.Table:
+        key = np.concatenate([np.frombuffer(k, np.int64) for k in table.column("owner").to_pylist()])
+        at = np.concatenate([np.frombuffer(k, np.uint32) for k in table.column("at").to_pylist()])
+        order = np.argsort(key, kind="stable")
+        key, at = key[order], at[order]
+        starts = np.flatnonzero(runs(key))
+        pieces = [at[x:y].tobytes() for x, y in zip(starts.tolist(), [*starts[1:].tolist(), key.size])]
+        return pa.table({"key": key[starts], "starts": pa.array(pieces, pa.binary())})
 
     names = ", ".join(f"{n} binary" for n in ("keys", "owner", *kinds))
     sent = map_rows(rows.select("key", "text", "open"), emit, f"bucket bigint, {names}", rows=ROWS)
-    return sent.groupBy("bucket").applyInArrow(meet, "key bigint, starts binary")
+    # One blob from each bucket to each group of rows, not one row for each text in each bucket.
+    found = sent.groupBy("bucket").applyInArrow(meet, "home bigint, owner binary, at binary")
+    return found.groupBy("home").applyInArrow(collect, "key bigint, starts binary")
 
 
 def only_of(rows: DataFrame, keys: DataFrame, key: str, cell: str) -> tuple[DataFrame, DataFrame]:
@@ -259,7 +273,7 @@ def removals(docs: DataFrame) -> DataFrame:
     )
     unsettled = of_row.where(F.size("open") > 0).select("key", "open")
     near, _ = only_of(texts, unsettled, "key", CELL_COLUMN)
-    windows = open_windows(near.join(unsettled, "key"), cuts).groupBy("key").agg(F.collect_list("starts").alias("starts"))
+    windows = open_windows(near.join(unsettled, "key"), cuts)
     every = of_row.select("key", "settled").join(windows, "key", "left")
 
     def run(part: dict[str, list]) -> dict[str, list]:
@@ -267,7 +281,7 @@ def removals(docs: DataFrame) -> DataFrame:
         for key, settled, starts in zip(part["key"], part["settled"], part["starts"]):
             first = np.array([s["first"] for s in settled], np.int64)
             end = np.array([s["last"] for s in settled], np.int64) + WIDTH
-            single = np.frombuffer(b"".join(starts or []), np.uint32).astype(np.int64)
+            single = np.frombuffer(starts or b"", np.uint32).astype(np.int64)
             first, end = np.concatenate([first, single]), np.concatenate([end, single + WIDTH])
             if not first.size:
                 continue
