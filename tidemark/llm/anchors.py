@@ -13,7 +13,7 @@ from tidemark.llm.shingles import _CODES, powers
 
 WIDTH = 200
 KEY = 100
-STEP = 1 << 21  # window starts worked at once
+STEP = 1 << 19  # window starts worked at once
 _PLACE = np.uint64((1 << 24) - 1)
 
 

@@ -25,7 +25,7 @@ from tidemark.llm.common import map_rows, sha256
 
 NONE = np.int64(1) << np.int64(40)
 SHORT = 64  # symbols; longer words have a tree of their own
-CACHED = 400_000  # chunks a worker keeps
+CACHED = 120_000  # chunks a worker keeps for each use
 # Python takes four control characters for white space that the pattern below does not.
 CONTROLS = re.compile("[\x1c-\x1f]")
 SPACES = re.compile(r"[^\S\x1c-\x1f]+")

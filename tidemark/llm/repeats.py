@@ -28,7 +28,7 @@ from tidemark.llm.common import map_rows, mix64, stage
 
 SAMPLE = 1_000  # texts, about, whose suffixes give the splitters
 BUCKET = 24_000_000  # bytes of text behind one bucket, about
-ROWS = 512
+ROWS = 256
 CELLS = 1 << 18  # cells of row keys
 SETTLED, OPEN = 1, 2
 KEY_COLUMN, CELL_COLUMN, REMOVED = "__row_key", "__row_cell", "__removed"

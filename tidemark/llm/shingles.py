@@ -10,7 +10,7 @@ import numpy as np
 
 from tidemark.llm.common import mix64
 
-BLOCK = 1 << 21  # bytes worked at once
+BLOCK = 1 << 19  # bytes worked at once
 _CODES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
