@@ -21,7 +21,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import map_rows, sha256
+from tidemark.llm.common import kept, map_rows, sha256
 
 NONE = np.int64(1) << np.int64(40)
 SHORT = 64  # symbols; longer words have a tree of their own
@@ -279,14 +279,15 @@ class Cache:
         return self.kept
 
 
-@functools.cache
 def word_bpe(path: str) -> WordBpe:
-    return WordBpe(path)
+    return kept(("bpe", path), lambda: WordBpe(path))
 
 
-@functools.cache
 def _digests(path: str) -> Cache:
-    model = word_bpe(path)
+    return kept(("digests", path), lambda: _digest_cache(WordBpe(path)))
+
+
+def _digest_cache(model: WordBpe) -> Cache:
     shown = {i: t.encode() for i, t in model.token.items()}
     decimal = {i: str(i).encode() for i in model.token}
 
@@ -328,10 +329,10 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
 
     def run(part: dict[str, list]) -> dict[str, list]:
         cut = [chunks_of(t) for t in part["text"]]
-        kept = _digests(path).prepare(cut)
+        found = _digests(path).prepare(cut)
         n, ids, decoded = [], [], []
         for chunks in cut:
-            values = [v for v in map(kept.__getitem__, chunks) if v[0]]
+            values = [v for v in map(found.__getitem__, chunks) if v[0]]
             n.append(sum(v[0] for v in values))
             ids.append(sha256(b" ".join([v[1] for v in values])))
             decoded.append(sha256(b" ".join([v[2] for v in values])))

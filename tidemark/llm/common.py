@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark.staging import stage
 
-__all__ = ["QUERIES", "REFERENCE_SQL", "query", "slices", "table", "stage", "map_rows", "row_key", "mix64", "sha256"]
+__all__ = ["QUERIES", "REFERENCE_SQL", "query", "slices", "table", "stage", "map_rows", "row_key", "mix64", "sha256", "kept", "release"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 REFERENCE_SQL: dict[str, str] = {}
@@ -99,5 +99,21 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_KEPT: dict = {}
+
+
+def kept(key: tuple, make: Callable[[], object]):
+    """What a Python worker keeps from task to task: one thing at a time, so that operators in turn do not add up."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release() -> None:
+    """Drop what other operators' tasks have left in this worker."""
+    _KEPT.clear()
+
+
 def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()

@@ -13,7 +13,6 @@ each piece's place up in the plan, one short table per length.
 
 from __future__ import annotations
 
-import functools
 import zlib
 from collections import defaultdict
 from dataclasses import dataclass
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe
-from tidemark.llm.common import slices, stage
+from tidemark.llm.common import kept, slices, stage
 
 
 @dataclass(frozen=True)
@@ -100,9 +99,8 @@ def plan(counts: dict[int, int], capacity: Capacity) -> list[tuple[int, int, int
     return runs
 
 
-@functools.cache
 def _ids(path: str) -> bpe.Cache:
-    return bpe.Cache(bpe.word_bpe(path).encode_chunks)
+    return kept(("ids", path), lambda: bpe.Cache(bpe.WordBpe(path).encode_chunks))
 
 
 def cut(docs: DataFrame, path: str, tokens: int = 2048) -> DataFrame:
@@ -118,10 +116,10 @@ def cut(docs: DataFrame, path: str, tokens: int = 2048) -> DataFrame:
         ranks: dict[int, int] = defaultdict(int)
         for rows in slices(batches, 512):
             texts = [bpe.chunks_of(t) for t in rows["text"]]
-            kept = _ids(path).prepare(texts)
+            found = _ids(path).prepare(texts)
             out: list[tuple] = []
             for doc, chunks in zip(rows["doc_id"], texts):
-                data = b"".join([*map(kept.__getitem__, chunks), b"\0\0\0\0"])
+                data = b"".join([*map(found.__getitem__, chunks), b"\0\0\0\0"])
                 for piece, start in enumerate(range(0, len(data) // 4, tokens)):
                     own = data[4 * start : 4 * (start + tokens)]
                     length = len(own) // 4

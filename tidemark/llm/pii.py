@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, stage
+from tidemark.llm.common import map_rows, release, stage
 
 BASE = ("email", "ip", "card", "phone")
 WIDER = ("email_spelled", "phone_bare", "name")
@@ -233,6 +233,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     """``doc_id, candidates``: base and wider spans with their votes; a null text has none."""
 
     def run(part: dict[str, list]) -> dict[str, list]:
+        release()
         out = []
         for text in part["text"]:
             own: list[dict] = []

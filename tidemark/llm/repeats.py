@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.anchors import KEY, WIDTH, Digests, anchors
-from tidemark.llm.common import map_rows, mix64, stage
+from tidemark.llm.common import map_rows, mix64, release, stage
 
 SAMPLE = 1_000  # texts, about, whose suffixes give the splitters
 BUCKET = 24_000_000  # bytes of text behind one bucket, about
@@ -41,6 +41,7 @@ def key_of_row(doc_id: str = "doc_id", text: str = "text") -> Column:
 
 def joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of all texts side by side, where each begins, and where it ends."""
+    release()
     encoded = [(t or "").encode() for t in texts]
     ends = np.cumsum(np.fromiter(map(len, encoded), np.int64, len(encoded)))
     return np.frombuffer(b"".join(encoded), np.uint8), ends - np.fromiter(map(len, encoded), np.int64, len(encoded)), ends

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from tidemark.llm.common import mix64
+from tidemark.llm.common import mix64, release
 
 BLOCK = 1 << 19  # bytes worked at once
 _CODES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -82,6 +82,7 @@ def shingle_sets(texts: list[str | None], width: int = 5) -> list[np.ndarray]:
 
     A text with fewer than ``width`` words has one shingle, its whole word sequence; without words it has none.
     """
+    release()
     encoded = [(t or "").encode() for t in texts]
     data = b"\n".join([*encoded, b""])
     starts, hashes = words(data)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Cache
-from tidemark.llm.common import map_rows
+from tidemark.llm.common import kept, map_rows
 
 SAMPLE = 12_000  # labelled rows read for learning, about; so few are broadcast by id
 LEXICON = 2_000  # words at most
@@ -370,13 +370,6 @@ def _words_in(chunk: re.Match):
             yield at, chunk.end()
 
 
-_SCORERS: dict[int, tuple[Model, Scorer]] = {}
-
-
 def _scorer(model: Model) -> Scorer:
-    """The worker's scorer of the model at hand; one at a time, so that earlier models' caches go."""
-    key = hash((model.own, model.curve, len(model.lexicon)))
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = (model, Scorer(model))
-    return _SCORERS[key][1]
+    """The worker's scorer of the model at hand."""
+    return kept(("scorer", model.own, model.curve, len(model.lexicon)), lambda: Scorer(model))
