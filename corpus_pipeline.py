@@ -7,8 +7,9 @@ Null and empty texts stay, unless a later document of the same kind makes them c
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import jaccard, packing, pii, repeats, toxicity
 from tidemark.llm.common import importable, table
@@ -25,6 +26,10 @@ def _with_text(docs: DataFrame, text: Column) -> DataFrame:
     return out.select(*[f"`{c}`" for c in columns])
 
 
+def _ordered(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.NumericType, T.StringType, T.BinaryType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold; the model learns from the labelled rows at hand."""
     importable(spark)
@@ -33,16 +38,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id; of rows with one id and text, all or none.
+    """One row of each group of near copies: that with the smallest id, null ids last; texts without words all stay.
 
-    A row stays if its own id is its group's smallest, so documents that are linked to nothing always stay.
+    Rows are told apart by id and text, so an id may repeat or be null; of rows equal in both one stays, the least by the
+    columns that have an order.
     """
     importable(spark)
-    gone = jaccard.classes(docs).where("component_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    gone = stage(gone, "gone")
-    # Only texts whose id falls into a cell of a copy's id are shuffled.
-    near, far = repeats.only_of(docs, gone, "doc_id", "__cell")
-    return near.join(gone, near["doc_id"] == gone["__gone"], "left_anti").unionByName(far)
+    rows = docs.withColumn("__key", jaccard.row_key())
+    gone = stage(jaccard.surplus(docs), "gone")
+    # Only texts whose key falls into a cell of a copy's key are shuffled.
+    near, far = repeats.only_of(rows, gone.select(F.col("key").alias("__gone")), "__key", "__cell")
+    out = near.join(gone, near["__key"] == gone["key"], "left_anti").unionByName(far)
+    again = gone.where("again").select("key")
+    if not again.isEmpty():
+        same, _ = repeats.only_of(rows, again, "__key", "__cell")
+        order = [F.col(f"`{f.name}`") for f in docs.schema if f.name not in ("doc_id", "text") and _ordered(f.dataType)]
+        place = F.row_number().over(Window.partitionBy("__key").orderBy(*(order or [F.lit(1)])))
+        first = same.withColumn("__place", place).where("__place = 1").drop("__place")
+        out = out.unionByName(first.join(again, first["__key"] == again["key"], "left_semi"))
+    return out.drop("__key")
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -243,6 +243,65 @@ def test_near_copies_leave_one_each(spark):
     assert sorted(r.doc_id for r in kept) == sorted(doc for doc, *_ in rows if least[doc] == doc)
 
 
+def test_rows_that_repeat_and_null_ids_leave_one_each(spark):
+    """Each group keeps one row, whatever ids its rows have, and that row keeps its bytes."""
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.001"
+    rng = random.Random(31)
+    texts = [" ".join(f"z{n}{rng.randrange(10**6)}" for _ in range(40)) for n in range(5)]
+    near = texts[2].split(" ")
+    near[0] = "changed"
+    more = [(7000, texts[0]), (7000, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (None, " ".join(near))]
+    # Two texts under one id, of which one has a copy with a smaller id and the other has none.
+    more += [(7001, texts[3]), (7002, texts[3]), (7002, texts[4]), (None, texts[4]), (None, None), (None, None), (None, "")]
+    rows = documents() + [(i, t, "s", 1, "k", 2, len(t or "")) for i, t in more]
+    far = 10**9
+    numbered = [(n if r[0] is None else r[0], r[1]) for n, r in enumerate(rows, far)]
+    sets = [plain_set(t) for _, t in numbered]
+    root = list(range(len(rows)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                root[top(i)] = top(j)
+    groups = defaultdict(list)
+    for i, a in enumerate(sets):
+        groups[top(i) if a else (i,)].append(i)
+    out = corpus_pipeline.drop_near_copies(spark, frame_of(spark, rows), folder)
+    assert out.columns == frame_of(spark, rows).columns
+    single = [tuple(r) for r in out.collect()]
+    count = Counter((r[0], r[1]) for r in single)
+    assert len(single) == len(groups)
+    for members in groups.values():
+        least = min(numbered[i][0] for i in members)
+        wanted = {rows[i][:2] for i in members if numbered[i][0] == least or least >= far}
+        if sets[members[0]]:
+            assert sum(count[w] for w in wanted) == 1
+    assert count[None, None] == 2
+    cut = corpus_pipeline.drop_repeats(spark, spark.createDataFrame(single, out.schema), folder).collect()
+    assert Counter((r.doc_id, r.text) for r in cut) == Counter(plain_kept(single))
+    whole = Counter(r.text for r in cut)
+    assert all(whole[t] == 1 for t in (texts[0], texts[1], texts[3], texts[4])) and whole[texts[2]] + whole[" ".join(near)] == 1
+
+
+def plain_kept(rows, width=200):
+    """Id and remaining text of every row, by counting all strings of ``width`` bytes."""
+    encoded = [(text or "").encode() for _, text, *_ in rows]
+    seen = Counter(data[s : s + width] for data in encoded for s in range(len(data) - width + 1))
+    for (doc, text, *_), data in zip(rows, encoded):
+        gone = np.zeros(len(data), bool)
+        for s in range(len(data) - width + 1):
+            if seen[data[s : s + width]] > 1:
+                gone[s : s + width] = True
+        yield doc, None if text is None else bytes(b for b, g in zip(data, gone) if not g).decode(errors="ignore")
+
+
 def test_the_run_equals_its_stages_by_brute_force(spark):
     """Near copies and repeats of the run's own input, each by its plain form; personal data gone; pieces whole."""
     import corpus_pipeline
