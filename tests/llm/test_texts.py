@@ -244,6 +244,53 @@ def test_license_rows(spark):
     assert licenses.report(empty(spark)).count() == 0
 
 
+def test_worn_notices_are_found(spark):
+    """Changed and inserted words, wherever they stand; templates of one and two words; two notices side by side."""
+    texts = ["Released under an MIT License", "Released under the new MIT License", "x Released a under b the c MIT d License y", "mit license", "gold"]
+    texts += ["Released under the MIT License. Released under the MIT License.", "the new license"]
+    short = "Licensed under CC BY-NC 4.0".replace("-", " ").replace(".", " ").split(" ")
+    texts += [" ".join([*short[:i], "other", *short[i + 1 :]]) for i in range(len(short))]
+    notices = {k: licenses.NOTICES[k] for k in ("mit", "cc-by-nc-4.0", "apache-2.0")} | {"pair": "MIT License", "one": "gold"}
+    rows = [(i, t, "s", 1, "k", 2, 3) for i, t in enumerate(texts)]
+    got = {r.doc_id: [s.license for s in r.licenses] for r in licenses.scan(frame_of(spark, rows), notices).collect()}
+    wanted = [["mit"]] * 3 + [["pair"], ["one"], ["mit", "mit"], []] + [["cc-by-nc-4.0"]] * len(short)
+    assert got == dict(enumerate(wanted))
+
+
+def test_each_notice_is_told_from_the_others(spark):
+    names = sorted(licenses.NOTICES)
+    rows = [(i, licenses.NOTICES[n], "s", 1, "k", 2, 3) for i, n in enumerate(names)]
+    for r in licenses.scan(frame_of(spark, rows)).collect():
+        assert [(s.license, s.coverage) for s in r.licenses] == [(names[r.doc_id], 1.0)]
+
+
+def test_every_alignment_that_covers_enough_is_a_candidate():
+    """Against alignments around every diagonal, for all notices with random words changed, left out and put in."""
+    rng = random.Random(5)
+    index = licenses.build(licenses.NOTICES)
+    worn = 0
+    for n, own in enumerate(index.hashes):
+        for _ in range(12):
+            text = own.tolist()
+            for _ in range(rng.randint(0, len(text) // 4 + 1)):
+                at, kind = rng.randrange(len(text)), rng.randrange(3)
+                text[at : at + (kind < 2)] = [rng.randrange(2**60)] * (kind != 1)
+                if not text:
+                    break
+            words = np.array([rng.randrange(2**60) for _ in range(5)] + text + [rng.randrange(2**60)] * 3, np.uint64)
+            enough = any(licenses.align(own, words, c)[0] >= 0.8 * own.size for c in range(-own.size, words.size))
+            hit = np.flatnonzero(np.isin(words, index.keys))
+            found = licenses.find(licenses.Index(index.names, index.hashes, *one_template(index, n)), words, hit)
+            assert bool(found) == enough
+            worn += enough
+    assert worn > 100
+
+
+def one_template(index, n):
+    own = index.template == n
+    return index.keys[own], index.template[own], index.place[own]
+
+
 def test_alignment_counts_like_the_longest_common_subsequence():
     rng = random.Random(2)
     for _ in range(200):

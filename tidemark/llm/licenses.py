@@ -1,26 +1,26 @@
-"""License notices by winnowed fingerprints and banded alignment.
+"""License notices by fingerprints and banded alignment.
 
-Templates' word triples are hashed and winnowed: of each run of WINDOW hashes the least is kept, so a shared run of
-WINDOW + 2 words always holds a kept one.  The inverted index from fingerprints to template places is small and travels with
-the tasks; a document's triples are looked up in it, hits of one template on neighbouring diagonals make a candidate, and
-words are aligned within a band around it.  A candidate whose alignment covers enough of the template is reported.
+A notice that covers enough of a template lacks a bounded number of its words, so of one word more at least one is there: so
+many of a template's rarer words are its fingerprints, and no notice is missed, wherever words are changed, left out or put in.
+The inverted index from fingerprints to template places is small and travels with the tasks; a document's words are looked up
+in it, and words are aligned within a band around each diagonal that a hit can belong to, if enough template words are near.
+A candidate whose alignment covers enough of the template is reported.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, mix64
+from tidemark.llm.common import map_rows
 from tidemark.llm.shingles import words
 
-TRIPLE = 3
-WINDOW = 2
 BAND = 4  # words by which a copy may shift
 COVERAGE = 0.8
 
@@ -49,17 +49,38 @@ NOTICES = {
     ),
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+# Other wordings.  Where licenses differ in one word each has its own, because the longest and fullest match is reported.
+_TERMS = "you can redistribute it and/or modify it under the terms of the"
+_LATER = "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+NOTICES |= {
+    "agpl-3.0": "Licensed under the GNU Affero General Public License, version 3.",
+    "agpl-notice": f"This program is free software: {_TERMS} GNU Affero General Public License {_LATER}",
+    "gpl-3.0-licensed": "Licensed under the GNU General Public License, version 3.",
+    "isc-permission": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies"
+    ),
+    "lgpl-3.0": "Licensed under the GNU Lesser General Public License, version 3.",
+    "lgpl-notice": f"This library is free software: {_TERMS} GNU Lesser General Public License {_LATER}",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+}
+for _verb in ("Licensed", "Released"):
+    for _kind in ("Apache", "BSD", "GPL", "ISC", "LGPL", "zlib", *(["MIT"] if _verb == "Licensed" else [])):
+        NOTICES[f"{_kind.lower()}-{_verb.lower()}"] = f"{_verb} under the {_kind} License."
+for _kind in ("NonCommercial", "NoDerivatives", "ShareAlike", "NonCommercial-NoDerivatives", "NonCommercial-ShareAlike"):
+    NOTICES[f"cc-by-{_kind.lower()}-4.0"] = f"This work is licensed under a Creative Commons Attribution-{_kind} 4.0 International License."
 
 # Letters and digits make words; bytes of other scripts count as letters.
 _BREAK = np.array([not (b >= 128 or chr(b).isalnum()) for b in range(256)])
 
 
-def triples(hashes: np.ndarray) -> np.ndarray:
-    n = max(0, hashes.size - TRIPLE + 1)
-    out = np.zeros(n, np.uint64)
-    for k in range(TRIPLE):
-        out = out * np.uint64(0x100000001B3) + mix64(hashes[k : k + n] + np.uint64(k))
-    return mix64(out)
+# Words that a template's fingerprints avoid; any choice of fingerprints is right.
+_FREQUENT = "a an and any are as at be by for from in is it may not of on or that the this to under use with you".split()
+
+
+def least_words(size: int) -> int:
+    """Fewest words of a template of so many that cover enough of it."""
+    return math.ceil(COVERAGE * size)
 
 
 @dataclass(frozen=True)
@@ -72,20 +93,19 @@ class Index:
 
 
 def build(notices: dict[str, str]) -> Index:
-    """The inverted index of templates; a template shorter than a triple is its own fingerprint of all its words."""
-    names, hashes, rows = [], [], []
-    for name, text in sorted(notices.items()):
-        h = words(text.encode(), _BREAK)[1]
-        grams = triples(h)
-        for start in range(max(1, grams.size - WINDOW + 1)) if grams.size else ():
-            least = start + int(np.argmin(grams[start : start + WINDOW]))
-            rows.append((int(grams[least]), len(names), least))
-        names.append(name)
-        hashes.append(h)
-    rows = sorted(set(rows))
+    """The inverted index of templates: of each as many places, and one more, as a notice may lack."""
+    names = tuple(sorted(notices))
+    hashes = tuple(words(notices[n].encode(), _BREAK)[1] for n in names)
+    frequent = set(words(" ".join(_FREQUENT).encode(), _BREAK)[1].tolist())
+    holders = Counter(w for h in hashes for w in set(h.tolist()))
+    rows = []
+    for n, h in enumerate(hashes):
+        places = sorted(range(h.size), key=lambda i: (int(h[i]) in frequent, holders[int(h[i])], i))
+        rows += [(int(h[i]), n, i) for i in places[: h.size - least_words(h.size) + 1]]
+    rows.sort()
     return Index(
-        tuple(names),
-        tuple(hashes),
+        names,
+        hashes,
         np.array([r[0] for r in rows], np.uint64),
         np.array([r[1] for r in rows], np.int64),
         np.array([r[2] for r in rows], np.int64),
@@ -112,27 +132,36 @@ def align(template: np.ndarray, text: np.ndarray, shift: int) -> tuple[int, int,
     return max(best, key=lambda o: (o[0], o[1] - o[2]))
 
 
-def find(index: Index, hashes: np.ndarray, hit: np.ndarray, grams: np.ndarray) -> list[tuple[int, int, int, float]]:
-    """Notices of one document: ``(template, first word, last word, coverage)``; ``hit`` are places of known triples."""
-    candidates: dict[tuple[int, int], int] = {}
-    for at in hit.tolist():
-        a, b = np.searchsorted(index.keys, grams[at], "left"), np.searchsorted(index.keys, grams[at], "right")
-        for n in range(int(a), int(b)):
-            shift = at - int(index.place[n])
-            candidates.setdefault((int(index.template[n]), shift), shift)
-    per: dict[int, list[int]] = defaultdict(list)
-    for template, shift in sorted(candidates):
-        if not per[template] or shift - per[template][-1] > BAND:
-            per[template].append(shift)
-    found = []
+def centres(template: list[int], text: list[int], shifts: set[int]) -> list[int]:
+    """Diagonals within BAND of ``shifts`` around which enough words of the template lie."""
+    enough = least_words(len(template))
+
+    def near(shift: int, band: int) -> bool:
+        there = set(text[max(0, shift - band) : max(0, shift + len(template) + band)])
+        return sum(w in there for w in template) >= enough
+
+    wide = [s for s in shifts if near(s, 2 * BAND)]
+    return sorted(c for c in {s + d for s in wide for d in range(-BAND, BAND + 1)} if near(c, BAND))
+
+
+def find(index: Index, hashes: np.ndarray, hit: np.ndarray) -> list[tuple[int, int, int, float]]:
+    """Notices of one document: ``(template, first word, last word, coverage)``; ``hit`` are places of known words."""
+    per: dict[int, set[int]] = defaultdict(set)
+    low, high = np.searchsorted(index.keys, hashes[hit], "left"), np.searchsorted(index.keys, hashes[hit], "right")
+    for at, a, b in zip(hit.tolist(), low.tolist(), high.tolist()):
+        for n in range(a, b):
+            per[int(index.template[n])].add(at - int(index.place[n]))
+    text = hashes.tolist()
+    aligned = set()
     for template, shifts in per.items():
         size = index.hashes[template].size
-        for shift in shifts:
-            matched, first, last = align(index.hashes[template], hashes, shift)
-            if matched >= COVERAGE * size:
-                found.append((template, first, last, matched / size))
-    # Of overlapping notices the longer match stays, then the fuller, then the first by name.
-    found.sort(key=lambda f: (-(f[3] * index.hashes[f[0]].size), -f[3], f[1], f[0]))
+        for centre in centres(index.hashes[template].tolist(), text, shifts):
+            matched, first, last = align(index.hashes[template], hashes, centre)
+            if matched >= least_words(size):
+                aligned.add((template, first, last, matched / size))
+    found = list(aligned)
+    # Of overlapping notices the longer match stays, then the fuller, then the denser, then the first, then the first by name.
+    found.sort(key=lambda f: (-round(f[3] * index.hashes[f[0]].size), -f[3], f[2] - f[1], f[1], f[0]))
     kept: list[tuple[int, int, int, float]] = []
     for f in found:
         if all(f[2] < k[1] or f[1] > k[2] for k in kept):
@@ -153,19 +182,18 @@ def scan(docs: DataFrame, notices: dict[str, str] | None = None) -> DataFrame:
         starts, hashes = words(data, _BREAK)
         ends = np.cumsum(np.fromiter((len(e) + 1 for e in encoded), np.int64, len(encoded)))
         first = np.searchsorted(starts, np.concatenate([[0], ends]))
-        grams = triples(hashes)
         if index.keys.size:
-            known = index.keys[np.minimum(np.searchsorted(index.keys, grams), index.keys.size - 1)] == grams
+            known = index.keys[np.minimum(np.searchsorted(index.keys, hashes), index.keys.size - 1)] == hashes
         else:
-            known = np.zeros(grams.size, bool)
+            known = np.zeros(hashes.size, bool)
         hits = np.flatnonzero(known)
         out = []
         for n, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
-            own = hits[np.searchsorted(hits, a) : np.searchsorted(hits, b - TRIPLE + 1)] - a
+            own = hits[np.searchsorted(hits, a) : np.searchsorted(hits, b)] - a
             rows = []
             if own.size:
                 begin = int(ends[n]) - len(encoded[n]) - 1
-                for template, low, high, coverage in find(index, hashes[a:b], own, grams[a:b]):
+                for template, low, high, coverage in find(index, hashes[a:b], own):
                     start, last = int(starts[a + low]) - begin, int(starts[a + high]) - begin
                     end = last + re.match(rb"[0-9A-Za-z\x80-\xff]+", encoded[n][last:]).end()
                     rows.append(
