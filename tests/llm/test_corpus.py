@@ -207,6 +207,27 @@ def test_toxicity_on_held_out_rows(spark):
     assert spans[1].spans[0].start == 0 and spans[2].spans == spans[3].spans == [] and spans[2].score == spans[3].score
 
 
+def test_rare_toxic_rows_all_count(spark):
+    """A sample holds every toxic row while it has room, and scores stay true to the rate of all labelled rows."""
+    assert toxicity.draw(100, 9900, 400) == (1.0, 300 / 9900) and toxicity.draw(9900, 100, 400) == (300 / 9900, 1.0)
+    assert toxicity.draw(5, 7, 400) == (1.0, 1.0) and toxicity.SAMPLE >= 40_000
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    rare = ["vile", "rotten", "nasty", "foul", "putrid"]
+    rows, labels = [], []
+    for i in range(3000):
+        text = [rng.choice(words) for _ in range(rng.randint(10, 40))]
+        if i % 30 == 0:
+            text.insert(rng.randrange(len(text)), rare[i // 30 % 5])
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(i % 30 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), sample=500)
+    assert set(rare) <= set(model.lexicon)
+    scores = [r.s for r in docs.where(toxicity.held_out()).select(toxicity.score_column(model).alias("s")).collect()]
+    assert 0.5 / 30 < sum(scores) / len(scores) < 2 / 30
+
+
 def test_toxicity_without_labels(spark):
     docs, labels = labelled(spark, 20)
     for none in (labels.where("false"), labels.where("toxic = 0")):

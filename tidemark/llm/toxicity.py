@@ -7,7 +7,7 @@ labelled tokens.  Scoring: forward-backward gives each token's toxic probability
 tokens, goes through a logistic curve fitted to document labels.
 
 What reaches the driver is bounded: LEXICON words and TRAIN windows of WINDOW tokens.  Learning reads about SAMPLE labelled
-rows, chosen by a hash of the id; scoring reads every whole text.
+rows, half of them toxic if there are as many, chosen by a hash of the id; scoring reads every whole text.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.bpe import Cache
 from tidemark.llm.common import kept, map_rows
 
-SAMPLE = 12_000  # labelled rows read for learning, about; so few are broadcast by id
+SAMPLE = 40_000  # labelled rows read for learning, about; so few are broadcast by id
 LEXICON = 2_000  # words at most
 TRAIN = 600  # windows of labelled documents for the field and the curve
 WINDOW = 256  # tokens of a window
@@ -222,6 +222,13 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 3 == 1
 
 
+def draw(toxic: int, clean: int, sample: int) -> tuple[float, float]:
+    """Shares of the toxic and of the clean rows that make a sample: half toxic, or all rows of a class that has fewer."""
+    most = max(sample / 2, sample - clean)
+    share = min(1.0, most / max(toxic, 1))
+    return share, min(1.0, (sample - share * toxic) / max(clean, 1))
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from labelled rows that are not held out.
 
@@ -230,9 +237,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & ~held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    size = known.count()
-    if size > sample:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(1_000_003 * sample / size))
+    sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    drawn = draw(sizes.get(1, 0), sizes.get(0, 0), sample)
+    if min(drawn) < 1:
+        limit = F.when(F.col("toxic") == 1, int(1_000_003 * drawn[0])).otherwise(int(1_000_003 * drawn[1]))
+        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < limit)
     # At most about SAMPLE ids: no text without a chosen label is shuffled.
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").where(F.col("text").isNotNull())
     rows = rows.groupBy(F.xxhash64("text").alias("h")).agg(F.min(F.struct("doc_id", "toxic", "text")).alias("d")).select("d.*")
@@ -302,7 +311,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     label = np.array([t for _, t in taken], float)
     curve = train_curve(np.array([m.sum() for m in found]), label)
     # The windows hold toxic rows at a higher rate than the labelled rows: set the curve's constant back.
-    shift = np.log(toxic / clean) - np.log(max(label.sum(), 0.5) / max(label.size - label.sum(), 0.5))
+    shift = np.log(toxic / drawn[0] / (clean / drawn[1])) - np.log(max(label.sum(), 0.5) / max(label.size - label.sum(), 0.5))
     return Model(lexicon, own, left, right, step, (curve[0] + float(shift), curve[1]))
 
 
