@@ -102,6 +102,15 @@ def test_components(spark, monkeypatch):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_links_of_one_centre_are_dealt_over_chunks(spark, monkeypatch):
+    monkeypatch.setattr(components, "CHUNK", 100)
+    links = spark.createDataFrame([(i, 0) for i in range(1, 2001)] + [(i, i - 1) for i in range(5001, 5101)], "u long, v long")
+    sizes = [r["count"] for r in components.dealt(links, 21).groupBy("chunk").count().collect()]
+    assert sum(sizes) == 2100 and max(sizes) <= 300
+    got = components.components(links.select(links["u"].alias("a"), links["v"].alias("b"))).collect()
+    assert sorted((r.node, r.root) for r in got) == [(i, 0) for i in range(2001)] + [(i, 5000) for i in range(5000, 5101)]
+
+
 # ---- repeats
 
 def plain_repeats(rows, width=200):
