@@ -2,6 +2,10 @@
 
 import random
 
+import pytest
+
+from tidemark.llm.common import importable
+
 SCHEMA = "doc_id long, text string, score string, rank int, key string, removed int, n_chars long"
 PATH_NAME = "word_bpe_49k.json"
 
@@ -34,3 +38,8 @@ def frame_of(spark, rows=None):
 
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(autouse=True)
+def workers_import_the_package(spark):
+    importable(spark)

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from fixtures import documents, empty, frame_of
+from fixtures import documents, empty, frame_of, workers_import_the_package  # noqa: F401
 
 from tidemark.llm import anchors, components, jaccard, repeats, shingles, toxicity
 

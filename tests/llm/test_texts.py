@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from fixtures import documents, empty, frame_of
+from fixtures import documents, empty, frame_of, workers_import_the_package  # noqa: F401
 from tokenizers import Tokenizer
 
 from tidemark.llm import bpe, licenses, packing, pii, secrets

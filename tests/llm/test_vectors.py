@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from fixtures import workers_import_the_package  # noqa: F401
 
 from tidemark.llm import neighbours, topk
 from tidemark.llm.neighbours import every_twentieth
