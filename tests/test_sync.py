@@ -221,7 +221,7 @@ def test_old_versions_go(spark, tmp_path):
     assert rows(bench.read(SPEC, SILVER), "NAME") == [("5",)]
 
 
-def test_a_second_writer_of_a_version_fails(bench):
+def test_a_second_writer_leaves_no_draft(bench):
     bench.set([(1, "a", D[1])])
     bench.run(SPEC)
     store = bench.sync.store
