@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 REFERENCE_SQL: dict[str, str] = {}
 
 SLICE = 128
+SLICE_BYTES = 4_000_000  # of text in one slice; a longer text is a slice of its own
 
 
 def query(name: str, sql: str | None = None):
@@ -56,11 +58,28 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE) -> Iterator[dict[str, list]]:
-    """Columns of at most ``rows`` rows as Python lists, so that a task never holds many long texts at once."""
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE, size: int = SLICE_BYTES) -> Iterator[dict[str, list]]:
+    """Columns of at most ``rows`` rows and about ``size`` bytes of text as Python lists, so that a task never holds many
+    long texts at once.
+    """
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows).to_pydict()
+        ends = np.cumsum(_text_bytes(batch))
+        start = 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            fit = int(np.searchsorted(ends, before + size, side="right")) - start
+            number = max(1, min(rows, fit))
+            yield batch.slice(start, number).to_pydict()
+            start += number
+
+
+def _text_bytes(batch: pa.RecordBatch) -> np.ndarray:
+    """Bytes of text and binary values in each row."""
+    total = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) or pa.types.is_binary(column.type):
+            total += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return total
 
 
 def map_rows(
