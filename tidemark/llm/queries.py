@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, jaccard, licenses, neighbours, packing, pii, repeats, secrets, topk, toxicity
+from tidemark.llm import bpe, jaccard, licenses, mixing, neighbours, packing, periods, pii, repeats, secrets, topk, toxicity, whitening
 from tidemark.llm.common import QUERIES, REFERENCE_SQL, query, table
 
 __all__ = ["QUERIES", "REFERENCE_SQL"]
@@ -69,3 +69,18 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_packing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path())
+
+
+@query("op11_periods")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return periods.digest(table(spark, folder, "documents"), periods.repeated_tail)
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.report(table(spark, folder, "embeddings"))
+
+
+@query("op13_mixing", mixing.REFERENCE)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
