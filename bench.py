@@ -36,6 +36,7 @@ HEADLINE = (
     "scd2_with_delete",
     "scd2_fact_lookup",
     "scd2_fact_lookup_long",
+    "scd2_fact_lookup_hot_key",
     "scd2_surrogate",
     "reconcile_missing_keys",
     "reconcile_soft_delete",

@@ -3,8 +3,9 @@ from conftest import AT, planned, rows, ts
 from pyspark.sql import functions as F
 
 from tidemark.layers import with_audit
+from tidemark.operators.lookup import fact_lookup
 from tidemark.operators.scd2 import (
-    as_of_versions, assign_surrogate, build_scd2, current_versions, fact_lookup, scd2_changes, scd2_source,
+    as_of_versions, assign_surrogate, build_scd2, current_versions, scd2_changes, scd2_source,
     tracked_columns,
 )
 from tidemark.staging import stage
@@ -159,20 +160,23 @@ def test_one_shuffle_per_side(spark, frame, first):
 
 # --- fact lookup -------------------------------------------------------------
 
-def expected(facts, versions, left=False):
+VERSIONS = "key long, EFF_FROM timestamp_ntz, EFF_TO timestamp_ntz, label string"
+FACTS = "id long, fk int, at timestamp_ntz"
+
+
+def expected(facts, versions, how, inclusive):
     out = []
     for f in facts:
-        hits = [v for v in versions if v[0] == f[1] and v[1] <= f[2] < v[2]]
-        out += [(f[0], v[3]) for v in hits] or ([(f[0], None)] if left else [])
+        known = f[1] is not None and f[2] is not None
+        hits = [v for v in versions if known and v[0] == f[1] and (v[1] <= f[2] < v[2] or inclusive and v[1] <= f[2] == v[2])]
+        if how in ("inner", "left"):
+            out += [(f[0], v[3]) for v in hits] or ([(f[0], None)] if how == "left" else [])
+        elif bool(hits) == (how == "left_semi"):
+            out.append((f[0],))
     return sorted(out, key=str)
 
 
-VERSIONS = "key long, EFF_FROM timestamp_ntz, EFF_TO timestamp_ntz, label string"
-
-
-@pytest.mark.parametrize("long_history", [1, 4, 1000])
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_lookup_equals_brute_force(frame, how, long_history):
+def lookup_rows(overlapping):
     import random
     from datetime import timedelta
 
@@ -180,20 +184,50 @@ def test_lookup_equals_brute_force(frame, how, long_history):
     versions, facts = [], []
     for key in range(6):
         moment = D[1]
-        for n in range(rng.choice([1, 3, 30])):
-            length = timedelta(minutes=rng.choice([0, 7, 60, 600, -5]))  # zero-length and inverted ones too
-            versions.append((key, moment, moment + length, f"{key}/{n}"))
-            moment += timedelta(minutes=rng.choice([0, 7, 60, 600]))
+        for n in range(rng.choice([1, 3, 60])):
+            length = rng.choice([0, 7, 60, 600, -5])  # zero-length and inverted ones too
+            versions.append((key, moment, moment + timedelta(minutes=length), f"{key}/{n}"))
+            step = rng.choice([0, 7, 60, 600])  # gaps
+            moment += timedelta(minutes=step if overlapping else max(length, 0) + rng.choice([0, step]))
         versions.append((key, moment, HIGH, f"{key}/last"))
-        versions.append((key, D[1] - timedelta(days=3), D[1] + timedelta(hours=9), f"{key}/overlap"))
+        if overlapping and key % 2:
+            versions.append((key, D[1] - timedelta(days=3), D[1] + timedelta(hours=9), f"{key}/overlap"))
+    versions.append((None, D[1], HIGH, "none"))
     for i in range(300):
         facts.append((i, rng.randrange(7), D[1] + timedelta(minutes=rng.randrange(-600, 9000))))
     for i, v in enumerate(versions):  # exactly on the boundaries
         facts += [(1000 + 2 * i, v[0], v[1]), (1001 + 2 * i, v[0], v[2])]
+    facts += [(5000 + i, 2, D[3]) for i in range(500)] + [(6000, 2, None), (6001, None, D[2])]  # a hot instant
+    return facts, versions
+
+
+@pytest.mark.parametrize("overlapping", [False, True])
+@pytest.mark.parametrize("range_rows,how,inclusive", [
+    (1, "inner", False), (10**6, "left", False), (1, "left", True), (1, "left_semi", False), (1, "left_anti", True), (10**6, "inner", True),
+    (10**6, "left_semi", True), (1, "left_anti", False),
+])
+def test_lookup_equals_brute_force(frame, how, range_rows, inclusive, overlapping):
+    facts, versions = lookup_rows(overlapping)
     found = fact_lookup(
-        frame(facts, "id long, fk long, at timestamp_ntz"), frame(versions, VERSIONS), [("fk", "key")], "at", how,
-        long_history=long_history,
-    )
-    assert sorted((tuple(r) for r in found.select("id", "label").collect()), key=str) == expected(
-        facts, versions, how == "left"
+        frame(facts, FACTS).repartition(3), frame(versions, VERSIONS), [("fk", "key")], "at", how, inclusive, range_rows=range_rows
     )
+    shown = found.select("id", "label") if how in ("inner", "left") else found.select("id")
+    assert sorted((tuple(r) for r in shown.collect()), key=str) == expected(facts, versions, how, inclusive)
+
+
+def test_lookup_of_nothing(frame):
+    none, dim = frame([], FACTS), frame([(1, D[1], HIGH, "a")], VERSIONS)
+    assert fact_lookup(none, dim, [("fk", "key")], "at", "left").count() == 0
+    facts = frame([(1, 1, D[2])], FACTS)
+    assert rows(fact_lookup(facts, dim.limit(0), [("fk", "key")], "at", "left"), "id", "label") == [(1, None)]
+
+
+def test_a_hot_key_is_swept_in_ranges(spark, frame):
+    facts = spark.range(3000).select("id", (F.col("id") % 1 + 1).cast("int").alias("fk"), (F.lit(D[1]).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("at"))
+    dim = frame([(1, D[n], D[n + 1], str(n)) for n in range(1, 5)], VERSIONS)
+    found = fact_lookup(facts, dim, [("fk", "key")], "at", "left", range_rows=500)
+    assert rows(found.groupBy("label").count()) == [("1", 1440), ("2", 1440), ("3", 120)]
+    plan = planned(found)
+    assert "SinglePartition" not in plan and "NestedLoop" not in plan and "Window" in plan
+    # Facts are dealt by key and range in one exchange, beside the versions.
+    assert "hashpartitioning(_k0" in plan and "_range" in plan[plan.index("hashpartitioning(_k0"):]

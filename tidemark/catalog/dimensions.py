@@ -25,6 +25,7 @@ from tidemark.catalog.base import (
 )
 from tidemark.functions import md5_slice
 from tidemark.layers import with_audit
+from tidemark.operators.lookup import fact_lookup
 from tidemark.operators.scd2 import (
     NEW,
     as_of_versions,
@@ -32,7 +33,6 @@ from tidemark.operators.scd2 import (
     build_scd2,
     current_versions,
     empty_dimension,
-    fact_lookup,
     scd2_changes,
     scd2_source,
 )
@@ -247,6 +247,44 @@ def scd2_fact_lookup_long(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("event_id", "user_id", "ts", "events_before", "top_value")
 
 
+HOT_SUPPLIER = "CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_suppkey END"
+
+
+@query(
+    f"""WITH items AS (SELECT l_orderkey, l_linenumber, {HOT_SUPPLIER} AS seller, l_shipdate,
+        cast(l_extendedprice AS decimal(18,2)) AS price FROM lineitem),
+d AS (SELECT seller AS dim_seller, date_trunc('month', l_shipdate) + INTERVAL 1 MONTH AS eff_from,
+        date_trunc('month', l_shipdate) + INTERVAL 2 MONTH AS eff_to, count(*) AS items_before, max(price) AS top_price
+      FROM items GROUP BY seller, date_trunc('month', l_shipdate))
+SELECT i.l_orderkey, i.l_linenumber, i.seller, i.price, d.items_before, d.top_price
+FROM items i LEFT JOIN d ON d.dim_seller = i.seller AND i.l_shipdate >= d.eff_from AND i.l_shipdate < d.eff_to"""
+)
+def scd2_fact_lookup_hot_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with what their supplier sold in the month before; one supplier has a third of all lines."""
+    items = table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.expr(HOT_SUPPLIER).alias("seller"),
+        "l_shipdate",
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
+    )
+    month = F.date_trunc("month", "l_shipdate").cast("timestamp_ntz")
+    sold = items.groupBy(F.col("seller").alias("dim_seller"), month.alias("month")).agg(
+        F.count(F.lit(1)).alias("items_before"), F.max("price").alias("top_price")
+    )
+    dim = sold.select(
+        "dim_seller",
+        (F.col("month") + F.make_ym_interval(months=F.lit(1))).alias("EFF_FROM"),
+        (F.col("month") + F.make_ym_interval(months=F.lit(2))).alias("EFF_TO"),
+        "items_before",
+        "top_price",
+    )
+    found = fact_lookup(
+        items, stage(dim, "dimension"), [("seller", "dim_seller")], "l_shipdate", how="left", range_rows=10_000
+    )
+    return found.select("l_orderkey", "l_linenumber", "seller", "price", "items_before", "top_price")
+
+
 @query(
     f"""{ONE} SELECT row_number() OVER (ORDER BY o_custkey) AS "DIM_KEY", o_custkey, o_orderkey,
        eff_from AS "EFF_FROM" FROM d1"""

@@ -1,4 +1,4 @@
-"""SCD2: versioned history of a table, and lookups into it."""
+"""SCD2: versioned history of a table."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidemark.functions import change_time, ntz, row_hash
 from tidemark.layers import DIM_KEY, NTZ, business_columns, is_deleted
 from tidemark.operators.dedupe import key_struct, latest_per_key
+from tidemark.operators.lookup import covers
 from tidemark.staging import stage
 
 HIGH_DATE = "9999-12-31 00:00:00"
@@ -209,95 +210,10 @@ def current_versions(dim: DataFrame) -> DataFrame:
     return dim.where("IS_CURRENT").select(*business_columns(dim), "EFF_FROM")
 
 
-def _covers(moment: Column, inclusive: bool) -> Column:
-    start = moment >= F.col("EFF_FROM")
-    return start & ((moment <= F.col("EFF_TO")) if inclusive else (moment < F.col("EFF_TO")))
-
-
 def as_of_versions(dim: DataFrame, moment: object, inclusive: bool = False) -> DataFrame:
     """Versions in force at ``moment``.
 
     A version ends where the next one starts, so the closed interval
     (``inclusive``) returns both at that instant; the default is half-open.
     """
-    return dim.where(_covers(ntz(moment), inclusive))
-
-
-LONG_HISTORY = 16
-CUTS = 64  # slices of a long history, and again of a slice that is still long
-JOINS = ("inner", "left", "left_semi", "left_anti")
-
-
-def _seconds(col: Column) -> Column:
-    # Built from date parts: a cast to an instant is not monotonic around clock changes.
-    day = F.unix_date(F.to_date(col)).cast("long")
-    return day * 86_400 + F.hour(col) * 3_600 + F.minute(col) * 60 + F.second(col)
-
-
-def _starts_by_rank(versions: DataFrame, keys: Sequence[str], longer_than: int, name: str) -> DataFrame:
-    """Per key with more versions than that, the starts that cut them into CUTS slices of about equal number."""
-    ranks = F.array(*[F.lit(n / CUTS) for n in range(1, CUTS)])
-    found = versions.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_start", ranks, 1000).alias(name))
-    return stage(found.where(F.col("_n") > longer_than).select(*keys, name), "long-history")
-
-
-def _slice(at: Column, starts: str) -> Column:
-    """Slice that holds a moment; 0 where the history is not cut."""
-    return F.coalesce(F.size(F.filter(starts, lambda s: s <= at)), F.lit(0))
-
-
-def fact_lookup(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: Sequence[tuple[str, str]],
-    moment: str,
-    how: str = "inner",
-    inclusive: bool = False,
-    long_history: int = LONG_HISTORY,
-) -> DataFrame:
-    """Join facts to the dimension version in force at the fact's ``moment``.
-
-    ``on`` pairs fact and dimension key columns; the dimension must not repeat a
-    fact column name.  ``how`` keeps to JOINS, whose rows come from facts: a
-    version is seen once per slice, so joins that keep unmatched versions have no
-    meaning here.
-
-    An equi-join on the key with the interval as a residual test compares a fact
-    with every version of its key.  Keys with more than ``long_history`` versions
-    therefore get their history cut into slices of equal numbers of versions,
-    and a slice that is still long is cut once more; facts and versions also join
-    on the slice, however the versions lie in time.  The cuts, a few numbers per
-    long key, are staged, so Catalyst broadcasts them only if their files are small.
-    """
-    how = how.lower().replace("leftsemi", "left_semi").replace("leftanti", "left_anti").replace("left_outer", "left")
-    if how not in JOINS:
-        raise ValueError(f"how must be one of {', '.join(JOINS)}")
-    fact_keys, dim_keys = [f for f, _ in on], [d for _, d in on]
-    valid = dim.where(F.col("EFF_FROM") <= F.col("EFF_TO") if inclusive else F.col("EFF_FROM") < F.col("EFF_TO"))
-    own = [f"_h{i}" for i in range(len(on))]
-    starts = valid.select(*[F.col(f"`{d}`").alias(h) for d, h in zip(dim_keys, own)], _seconds(F.col("EFF_FROM")).alias("_start"))
-    first = _starts_by_rank(starts, own, long_history, "_cuts")
-    inner = starts.join(first, own).withColumn("_part", _slice(F.col("_start"), "_cuts"))
-    second = _starts_by_rank(inner, [*own, "_part"], max(long_history, CUTS), "_fine")
-
-    def cut(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        same = [F.col(f"`{k}`") == F.col(h) for k, h in zip(keys, own)]
-        return df.join(first, same, "left")
-
-    def refine(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        fine = second.withColumnRenamed("_part", "_of")
-        same = [F.col(f"`{k}`") == F.col(h) for k, h in zip(keys, own)]
-        return df.drop(*own).join(fine, [*same, F.col("_part") == F.col("_of")], "left")
-
-    at = _seconds(F.col(f"`{moment}`"))
-    facts = refine(cut(fact, fact_keys).withColumn("_part", _slice(at, "_cuts")), fact_keys)
-    facts = facts.select(*fact.columns, F.col("_part").alias("_fact_part"), _slice(at, "_fine").alias("_fact_fine"))
-    begin, end = _seconds(F.col("EFF_FROM")), _seconds(F.col("EFF_TO"))
-    spread = cut(valid, dim_keys).withColumn("_part", F.explode(F.sequence(_slice(begin, "_cuts"), _slice(end, "_cuts"))))
-    fine = F.explode(F.sequence(_slice(begin, "_fine"), _slice(end, "_fine")))
-    versions = refine(spread, dim_keys).select(*dim.columns, F.col("_part").alias("_dim_part"), fine.alias("_dim_fine"))
-    match = _covers(F.col(f"`{moment}`"), inclusive)
-    for f, d in on:
-        match = match & (F.col(f"`{f}`") == F.col(f"`{d}`"))
-    match = match & (F.col("_fact_part") == F.col("_dim_part")) & (F.col("_fact_fine") == F.col("_dim_fine"))
-    return facts.join(versions, match, how).drop("_fact_part", "_fact_fine", "_dim_part", "_dim_fine")
+    return dim.where(covers(ntz(moment), inclusive))
