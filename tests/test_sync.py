@@ -406,6 +406,25 @@ def test_a_second_writer_of_a_version_fails(spark, tmp_path):
         store._publish(SPEC, RAW, stale)
 
 
+def test_a_late_change_is_spliced_into_the_stored_history(bench):
+    spec = SPEC.with_(table_type=SCD2, target_table="DIM", track_columns=("NAME",))
+    bench.set([(1, "b", D[5]), (2, "x", D[5])])
+    bench.run(spec)
+    bench.set([(1, "c", D[10]), (2, "x", D[5])])
+    bench.run(spec)
+    bench.sync.lookback_minutes = 60 * 24 * 9
+    bench.set([(1, "late", D[7]), (2, "y", D[12])])
+    assert only(bench.run(spec))["STATUS"] == "success"
+    found = rows(bench.read(spec, SCD2), "ID", "NAME", "EFF_FROM", "EFF_TO", "IS_CURRENT")
+    high = datetime(9999, 12, 31)
+    assert found == [
+        (1, "b", D[5], D[7], False), (1, "c", D[10], high, True), (1, "late", D[7], D[10], False),
+        (2, "x", D[5], D[12], False), (2, "y", D[12], high, True),
+    ]
+    assert rows(bench.read(spec, SCD2), "DIM_KEY") == [(1,), (2,), (3,), (4,), (5,)]
+    assert only(bench.run(spec))["STATUS"] == "success" and rows(bench.read(spec, SCD2), "ID", "NAME", "EFF_FROM", "EFF_TO", "IS_CURRENT") == found
+
+
 def test_json_columns_travel_through_all_layers(bench):
     dim_spec = SPEC.with_(table_type=SCD2, target_table="DIM")
     schema = "id long, doc string, updated_at timestamp_ntz"

@@ -36,6 +36,7 @@ from tidemark.operators.scd2 import (
     scd2_changes,
     scd2_source,
 )
+from tidemark.operators.splice import scd2_change_rows, splice_scd2
 from tidemark.staging import stage
 
 KEYS, WATERMARK, TRACK = ["o_custkey"], "o_orderdate", ["o_orderstatus", "o_orderpriority"]
@@ -163,6 +164,39 @@ def scd2_three_batches(spark: SparkSession, folder: str) -> DataFrame:
     return shown(_three(spark, folder))
 
 
+# Orders of the middle years arrive first, then the oldest, then the newest; each order is a change of its customer.
+ARRIVALS = (
+    f"o_orderdate > timestamp '{ORDERS_CUT}' AND o_orderdate <= timestamp '{ORDERS_SECOND_CUT}'",
+    f"o_orderdate <= timestamp '{ORDERS_CUT}'",
+    f"o_orderdate > timestamp '{ORDERS_SECOND_CUT}'",
+)
+
+
+def _arrival_sql(n: int) -> str:
+    """Versions after one more arrival: a change to what is in force is none."""
+    kept = f"SELECT * FROM k{n - 1} UNION ALL " if n else ""
+    return f"""k{n} AS (SELECT {", ".join(COLUMNS)}, h, n FROM ({kept}SELECT {", ".join(COLUMNS)}, h, {n} AS n FROM changes
+    WHERE {ARRIVALS[n]}) QUALIFY n < {n} OR h IS DISTINCT FROM lag(h) OVER (PARTITION BY o_custkey ORDER BY o_orderdate))"""
+
+
+@query(
+    f"""WITH {_source_sql("s").replace("PARTITION BY o_custkey ORDER BY o_orderdate DESC", "PARTITION BY o_custkey, o_orderdate ORDER BY o_orderdate DESC")},
+changes AS (SELECT * FROM s), {", ".join(_arrival_sql(n) for n in range(3))},
+v AS (SELECT *, lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS until FROM k2)
+SELECT {", ".join(COLUMNS)}, o_orderdate AS "EFF_FROM",
+       coalesce(strftime(until, '%Y-%m-%d %H:%M:%S'), '9999-12-31 00:00:00') AS "EFF_TO", until IS NULL AS "IS_CURRENT",
+       false AS "IS_DELETED", h AS "ROW_HASH", timestamp '{LOADED_AT}' AS "_LOAD_TS", 'b' || n AS "_BATCH_ID" FROM v"""
+)
+def scd2_late_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """A history built from three arrivals out of order: late changes are cut into closed versions."""
+    dim = None
+    for n, arrived in enumerate(ARRIVALS):
+        raw = with_audit(orders(spark, folder).where(arrived), LOADED_AT)
+        changes = scd2_change_rows(raw, KEYS, WATERMARK, LOADED_AT, TRACK, md5_slice)
+        dim = stage(splice_scd2(dim, changes, KEYS, LOADED_AT, f"b{n}"), "dimension")
+    return shown(dim)
+
+
 @query(f'{TWO} SELECT {", ".join(COLUMNS)}, eff_from AS "EFF_FROM" FROM d2 WHERE cur')
 def scd2_current(spark: SparkSession, folder: str) -> DataFrame:
     """The current-version view."""

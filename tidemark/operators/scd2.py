@@ -70,7 +70,8 @@ def scd2_changes(
     A version expires when its key is deleted or its hash differs (a NULL hash
     counts as equal); every live key left without a current version gets a new one.
     With ``snapshot`` the source is complete, so a key it lacks counts as deleted;
-    otherwise such a key stays current.
+    otherwise such a key stays current.  A change older than the current version has
+    no place here: ``late_keys`` names such keys, ``splice_scd2`` takes them.
 
     Both inputs hold one row per key, so the full outer join has no hot key, and
     the source side reuses the partitioning of its latest-row window.  A joined
@@ -112,7 +113,7 @@ def scd2_changes(
         version(
             CLOSED,
             {
-                "EFF_TO": F.when(deleted, F.coalesce("_del_at", ntz(as_of))).otherwise(F.col("_ct")),
+                "EFF_TO": F.when(deleted, F.greatest("_t_EFF_FROM", F.coalesce("_del_at", ntz(as_of)))).otherwise(F.col("_ct")),
                 "IS_CURRENT": F.lit(False),
                 "IS_DELETED": F.coalesce("_t_IS_DELETED", F.lit(False)) | deleted,
             },
@@ -134,6 +135,14 @@ def scd2_changes(
     return joined.select(F.inline(F.array(old, new))).where(F.col("_op").isNotNull())
 
 
+def late_keys(current: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_key`` of the keys whose newest row differs from the current version and is older."""
+    versions = current.select(key_struct(keys).alias("_key"), "EFF_FROM", "ROW_HASH")
+    differs = F.coalesce(F.col("ROW_HASH") != F.col("_hash"), F.lit(False))
+    older = ~F.col("_is_del") & differs & (F.col("_ct") < F.col("EFF_FROM"))
+    return source.join(versions, "_key").where(older).select("_key")
+
+
 def empty_dimension(source: DataFrame, surrogate: bool = False) -> DataFrame:
     """A dimension without versions, shaped after ``source`` (see ``scd2_source``)."""
     hash_type = source.schema["_hash"].dataType

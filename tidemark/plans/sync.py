@@ -15,15 +15,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import typed
-from tidemark.layers import business_fields, conform, scd2_schema, upper_names
-from tidemark.operators.dedupe import latest_per_key
+from tidemark.layers import DIM_KEY, business_fields, conform, scd2_schema, upper_names
+from tidemark.operators.dedupe import key_struct, latest_per_key
 from tidemark.operators.drift import detect_drift, evolve, widened
 from tidemark.operators.merge import replace_raw, upsert_raw
 from tidemark.operators.parity import BoardEntry, parity_report, watermark_text
 from tidemark.operators.reconcile import count_hits, missing_keys, soft_delete
 from tidemark.operators.scd2 import CLOSED as CLOSED_OP
-from tidemark.operators.scd2 import NEW, assign_surrogate, scd2_changes, scd2_source
+from tidemark.operators.scd2 import KEEP, NEW, assign_surrogate, late_keys, scd2_changes, scd2_source
 from tidemark.operators.silver import build_silver
+from tidemark.operators.splice import splice_scd2
 from tidemark.plans.audit import AuditLog, log_key
 from tidemark.staging import scratch_path, stage
 from tidemark.plans.store import CLOSED, CURRENT, TableStore, bucket_sizes, bucketed, touched_buckets
@@ -366,7 +367,22 @@ class Sync:
             else self.spark.createDataFrame([], shape)
         )
         source = scd2_source(raw, spec.keys, spec.watermark_col, as_of, spec.track_columns)
-        changes = stage(scd2_changes(current, source, spec.keys, as_of, batch, snapshot=snapshot), "versions")
+        late = stage(late_keys(current, source, spec.keys), "late")
+        has_late = before is not None and not late.isEmpty()
+        if has_late:
+            # Their whole histories are spliced, so closed versions of these buckets are written again.
+            history = self.store.read(spec, SCD2, buckets=touched).withColumn("_key", key_struct(spec.keys))
+            changed = source.join(late, "_key", "left_semi").select(*source.columns)
+            own = history.join(late, "_key", "left_semi").select(*shape.names)
+            spliced = splice_scd2(own, changed, spec.keys, as_of, batch)
+            spliced = spliced.withColumn("_op", F.when(F.col(DIM_KEY.name).isNull(), NEW).otherwise(CLOSED_OP))
+            others = history.join(late, "_key", "left_anti")
+            source = source.join(late, "_key", "left_anti").select(*source.columns)
+            current = others.where("IS_CURRENT").select(*shape.names)
+            rest = others.where("NOT IS_CURRENT").select(*shape.names, F.lit(KEEP).alias("_op"))
+            spliced = spliced.unionByName(rest)
+        changes = scd2_changes(current, source, spec.keys, as_of, batch, snapshot=snapshot)
+        changes = stage(changes.unionByName(spliced) if has_late else changes, "versions")
         sizes = {r["_op"]: r["n"] for r in changes.groupBy("_op").agg(F.count(F.lit(1)).alias("n")).collect()}
         moved = before is not None and before.buckets != spec.buckets
         if before and not moved and not sizes.get(NEW) and not sizes.get(CLOSED_OP):
@@ -378,13 +394,14 @@ class Sync:
             new = assign_surrogate(changes.where(F.col("_op") == NEW), spec.keys, base)
             rows = rows.unionByName(new)
         rows, drop_current = rows.drop("_op"), _outside(touched)
-        if moved and touched is None:  # another number of buckets: closed versions move with the others
+        if moved and touched is None and not has_late:  # another number of buckets: closed versions move with the others
             rows = rows.unionByName(self.store.read(spec, SCD2, part=CLOSED))
         self.store.commit(
             spec,
             SCD2,
             rows,
-            keep=lambda piece: not (moved and touched is None) and (piece.part == CLOSED or drop_current(piece)),
+            keep=lambda piece: not (moved and touched is None)
+            and ((piece.part == CLOSED and not has_late) or drop_current(piece)),
             part=F.when(F.col("IS_CURRENT"), F.lit(CURRENT)).otherwise(F.lit(CLOSED)),
             notes={"max_key": base + sizes.get(NEW, 0), **self._origin_of(spec)},
             count=False,
