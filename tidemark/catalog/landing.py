@@ -24,6 +24,7 @@ from tidemark.layers import SourceColumn, conform, target_schema, with_audit
 from tidemark.operators.dedupe import latest_per_key
 from tidemark.operators.drift import apply_drift, detect_drift
 from tidemark.operators.merge import replace_raw, upsert_raw
+from tidemark.operators.sketch import missing_keys_by_sketch
 from tidemark.operators.reconcile import missing_keys, soft_delete
 from tidemark.sources.dump import read_dump, write_dump
 from tidemark.sources.files import read_by_name, write_delta
@@ -221,6 +222,22 @@ def reconcile_missing_keys(spark: SparkSession, folder: str) -> DataFrame:
     return missing_keys(raw, _surviving(spark, folder), ["o_orderkey"])
 
 
+@query(
+    """WITH k AS (SELECT 'K-' || o_orderkey AS code, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS o_custkey, o_orderkey FROM orders)
+SELECT code, o_custkey FROM k WHERE o_orderkey % 251 = 0 UNION ALL SELECT NULL, NULL"""
+)
+def reconcile_by_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Vanished keys of text and numbers, NULLs among them; the source has keys of its own too."""
+    key = F.col("o_orderkey")
+    customer = F.when(key % 5 != 0, F.col("o_custkey")).alias("o_custkey")
+    have = table(spark, folder, "orders").select(F.concat(F.lit("K-"), key).alias("code"), customer, "o_orderkey")
+    nobody = spark.range(1).select(F.lit(None).cast("string").alias("code"), F.lit(None).cast("long").alias("o_custkey"))
+    raw = with_audit(have.drop("o_orderkey").unionByName(nobody), LOADED_AT)
+    new = have.where(key % 241 == 0).withColumn("code", F.concat(F.lit("N-"), key))
+    source = have.where(key % 251 != 0).unionByName(new)
+    return missing_keys_by_sketch(raw, source, ["code", "o_custkey"])
+
+
 @query(
     f"""SELECT o.*, timestamp '{LOADED_AT}' AS "_LOAD_TS", cast(NULL AS varchar) AS "_SRC_FILE", 'load-1' AS "_BATCH_ID",
        l.l_orderkey IS NULL AS "_IS_DELETED",

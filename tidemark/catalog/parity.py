@@ -21,6 +21,7 @@ from tidemark.catalog.dimensions import KEYS, TWO, WATERMARK
 from tidemark.catalog.dimensions import _two as two_batches
 from tidemark.layers import live, with_audit
 from tidemark.operators.dedupe import latest_per_key
+from tidemark.operators.difference import differing_keys
 from tidemark.operators.parity import (
     BoardEntry,
     board_totals,
@@ -227,3 +228,20 @@ def layer_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     for one in counted[1:]:
         tables = tables.unionByName(one)
     return layer_counts(tables)
+
+
+@query(
+    """SELECT o_orderkey, 'only_left' AS difference, 1 AS left_rows, 0 AS right_rows FROM orders WHERE o_orderkey % 101 = 0
+UNION ALL SELECT o_orderkey, 'changed', 1, 1 FROM orders WHERE o_orderkey % 97 = 0 AND o_orderkey % 101 <> 0
+UNION ALL SELECT o_orderkey + 100000000, 'only_right', 0, 1 FROM orders WHERE o_orderkey % 103 = 0""".replace(
+        "1 AS left_rows, 0 AS right_rows", "1::bigint AS left_rows, 0::bigint AS right_rows"
+    )
+)
+def parity_differing_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Which keys two versions of a table differ in: gone, changed and new orders."""
+    before = orders(spark, folder)
+    key = F.col("o_orderkey")
+    price = F.when(key % 97 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).cast("decimal(18,2)")
+    after = before.where(key % 101 != 0).withColumn("o_totalprice", price)
+    new = before.where(key % 103 == 0).withColumn("o_orderkey", key + 100_000_000)
+    return differing_keys(before, after.unionByName(new), ["o_orderkey"], few_rows=1_000)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog.base import (
     LOADED_AT,
     ORDERS_CUT,
+    ORDERS_SECOND_CUT,
     flagged,
     money,
     orders,
@@ -16,8 +17,10 @@ from tidemark.catalog.base import (
     table,
 )
 from tidemark.layers import with_audit
+from tidemark.operators.affected import refresh_silver
 from tidemark.operators.silver import build_silver
 from tidemark.sources.window import incremental_window
+from tidemark.staging import stage
 
 LATEST = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
   FROM (SELECT o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice AS decimal(18,2)) AS o_totalprice,
@@ -76,3 +79,19 @@ def silver_passthrough(spark: SparkSession, folder: str) -> DataFrame:
     """No key: all live RAW rows."""
     raw = flagged(orders(spark, folder), F.col("o_orderstatus") == "F", F.col("o_orderdate"))
     return build_silver(None, raw, [])
+
+
+@query(f"SELECT * FROM ({LATEST.format(window='IS NOT NULL')}) WHERE o_orderstatus <> 'F'")
+def silver_two_deltas(spark: SparkSession, folder: str) -> DataFrame:
+    """Two deltas, each refreshing only the customers it names; cancelled orders count as deleted."""
+    raw = flagged(orders(spark, folder), F.col("o_orderstatus") == "F", F.col("o_orderdate"))
+    silver, seen = None, None
+    for cut in (ORDERS_CUT, ORDERS_SECOND_CUT, None):
+        upto = incremental_window(raw, "o_orderdate", None, cut) if cut else raw
+        if silver is None:
+            silver = build_silver(None, upto, ["o_custkey"], "o_orderdate")
+        else:
+            changed = incremental_window(raw, "o_orderdate", seen, cut).select("o_custkey").distinct()
+            silver = refresh_silver(silver, upto, changed, ["o_custkey"], "o_orderdate")
+        silver, seen = stage(silver, "silver"), cut
+    return silver

@@ -32,15 +32,16 @@ def missing_keys(raw: DataFrame, source: DataFrame, keys: Sequence[str]) -> Data
     kinds = {f.name.upper(): f.dataType for f in raw.schema.fields}
     have = live(raw).select(*keys, F.lit(False).alias("_offered"))
     offered = source.select(
-        *[_as(F.col(f"`{k}`"), source.schema, k, kinds[k.upper()]).alias(k) for k in keys],
+        *[in_type_of(source, k, kinds[k.upper()]) for k in keys],
         F.lit(True).alias("_offered"),
     )
     return have.union(offered).groupBy(*keys).agg(F.max("_offered").alias("_offered")).where("NOT _offered").drop("_offered")
 
 
-def _as(col: Column, schema: T.StructType, name: str, want: T.DataType) -> Column:
-    have = next(f.dataType for f in schema.fields if f.name.upper() == name.upper())
-    return col if have == want else col.cast(want)
+def in_type_of(df: DataFrame, name: str, want: T.DataType) -> Column:
+    """A column of ``df`` in the type its counterpart has."""
+    have = next(f.dataType for f in df.schema.fields if f.name.upper() == name.upper())
+    return (F.col(f"`{name}`") if have == want else F.col(f"`{name}`").cast(want)).alias(name)
 
 
 def soft_delete(raw: DataFrame, missing: DataFrame, keys: Sequence[str], as_of: object) -> DataFrame:
