@@ -54,7 +54,7 @@ def test_bpe_digest_and_rows(spark, library):
 
 
 def test_a_small_cache_changes_nothing(library):
-    cache = bpe.Cache(bpe.word_bpe(PATH).encode_chunks, limit=3)
+    cache = bpe.Cache(bpe.word_bpe(PATH).encode_chunks, limit=600)
     for text in ("the cat sat", "on the mat and", "the cat again and again"):
         chunks = bpe.chunks_of(text)
         kept = cache.prepare([chunks])
@@ -225,6 +225,25 @@ def test_secrets_stay_out_of_python(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_long_octets_and_texts(spark):
+    zeros = "at " + "0" * 5000 + ".1.2.3 " + "word " * 20_000 + "mail me: a.b@example.org"
+    rows = [(1, zeros, "s", 1, "k", 2, 3), (2, "9" * 6000 + ".1.2.3", "s", 1, "k", 2, 3)]
+    got = {r.doc_id: (r.n_ip, r.n_email) for r in pii.digest(frame_of(spark, rows)).collect()}
+    assert got == {1: (1, 1), 2: (0, 0)}
+
+
+def test_cues_begin_words():
+    def context(text, own, family):
+        at = text.index(own)
+        return pii.unpack(pii.votes(text, at, at + len(own), family)[0])[2]
+
+    for text in ("description 1.2.3.4", "ipsum 1.2.3.4"):
+        assert context(text, "1.2.3.4", "ip") == 0
+    assert context("our server 1.2.3.4", "1.2.3.4", "ip") == 2 and context("IP: 1.2.3.4", "1.2.3.4", "ip") == 2
+    assert context("typically the hotel +49 30 1234567", "+49 30 1234567", "phone") == 0
+    assert context("Tel. +49 30 1234567", "+49 30 1234567", "phone") == 2
+
+
 # ---- licenses
 
 def test_license_rows(spark):

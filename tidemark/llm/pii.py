@@ -57,6 +57,8 @@ CUES = {
     "phone": ("tel", "phone", "call", "mobile", "fax", "anruf", "móvil"),
     "name": ("name", "dear", "contact", "regards", "liebe", "cher"),
 }
+# A cue begins a word; one of two letters is the word.
+CUE = {family: re.compile("|".join(rf"(?<!\w){c}" + (r"(?!\w)" if len(c) < 3 else "") for c in cues)) for family, cues in CUES.items()}
 LABELERS = ("shape", "gazetteer", "context", "surroundings")
 
 
@@ -137,8 +139,9 @@ def votes(text: str, start: int, end: int, kind: str) -> tuple[int, int]:
         end_word = re.split(r"[^A-Za-z0-9]+", own)[-1].lower()
         shape, gazetteer = 2 if end_word.isalpha() and len(end_word) >= 2 else 1, 2 if end_word in DOMAIN_ENDS else 0
     elif family == "ip":
-        first = digits and int(own.split(".")[0])
-        shape, gazetteer = 1 if any(len(p) > 1 and p[0] == "0" for p in own.split(".")) else 2, 1 if first in (0, 127) or first >= 224 else 2
+        parts = own.split(".")
+        first = int(parts[0].lstrip("0")[:4] or "0")  # zeros in front may be many
+        shape, gazetteer = 1 if any(len(p) > 1 and p[0] == "0" for p in parts) else 2, 1 if first in (0, 127) or first >= 224 else 2
     elif family == "card":
         shape, gazetteer = 2 if len(digits) in (15, 16) and len(set(digits)) > 2 else 1, 2 if digits.startswith(CARD_STARTS) else 0
     elif family == "phone":
@@ -147,7 +150,7 @@ def votes(text: str, start: int, end: int, kind: str) -> tuple[int, int]:
     else:
         shape, gazetteer = 2 if own.count(" ") <= 2 else 1, 0
     near = text[max(0, start - 40) : start].lower()
-    context = 2 if any(c in near for c in CUES[family]) else 0
+    context = 2 if CUE[family].search(near) else 0
     before, after = text[start - 1 : start], text[end : end + 1]
     surroundings = 1 if before in "/=#_-" and before or after and (after.isalnum() or after in "/=_") else 2
     code = 0
