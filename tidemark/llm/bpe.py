@@ -25,7 +25,7 @@ from tidemark.llm.common import kept, map_rows, sha256
 
 NONE = np.int64(1) << np.int64(40)
 SHORT = 64  # symbols; longer words have a tree of their own
-CACHED = 120_000  # chunks a worker keeps for each use
+CACHED = 60_000_000  # bytes of chunks a worker keeps
 # Python takes four control characters for white space that the pattern below does not.
 CONTROLS = re.compile("[\x1c-\x1f]")
 SPACES = re.compile(r"[^\S\x1c-\x1f]+")
@@ -222,8 +222,8 @@ class WordBpe:
 
     def _plain_chunks(self, chunks: list[str]) -> list[bytes]:
         found = WORDS_OR_BREAK.findall(normal("\n".join([*chunks, ""])))
-        order: dict[str, int] = {}
-        words = np.fromiter((order.setdefault(w, len(order)) for w in found), np.int64, len(found))
+        order = dict(zip(dict.fromkeys(found), range(len(found))))
+        words = np.fromiter(map(order.__getitem__, found), np.int64, len(found))
         breaks = order.pop("\n")
         ids, counts = self.encode_words(list(order))
         counts = np.insert(counts, breaks, 0)
@@ -264,19 +264,29 @@ def chunks_of(text: str | None) -> list[str]:
 
 
 class Cache:
-    """Values of chunks, at most ``limit`` of them beside those of the texts at hand."""
+    """Values of chunks in two generations: those used since the last change, and those used between the two before.
 
-    def __init__(self, make: Callable[[list[str]], list], limit: int = CACHED):
-        self.make, self.limit, self.kept = make, limit, {}
+    Generations change when the younger one takes half of ``limit`` bytes; what the next does not use again goes with it.
+    """
+
+    ENTRY = 170  # bytes of an entry beside its letters and its value
+
+    def __init__(self, make: Callable[[list[str]], list], limit: int = CACHED, weight: Callable[[list], int] | None = None):
+        self.make, self.limit, self.young, self.old, self.bytes = make, limit, {}, {}, 0
+        self.weight = weight or (lambda values: sum(map(len, values)))
 
     def prepare(self, texts: list[list[str]]) -> dict:
-        wanted = set().union(*texts)
-        missing = list(wanted.difference(self.kept))
-        if len(self.kept) + len(missing) > self.limit:
-            self.kept = {c: self.kept[c] for c in wanted if c in self.kept}
-        if missing:
-            self.kept.update(zip(missing, self.make(missing)))
-        return self.kept
+        if self.bytes > self.limit // 2:
+            self.old, self.young, self.bytes = self.young, {}, 0
+        young, old = self.young, self.old
+        fresh = set().union(*texts).difference(young)
+        missing = list(fresh.difference(old))
+        again = list(fresh.difference(missing))
+        values = list(map(old.__getitem__, again)) + (self.make(missing) if missing else [])
+        chunks = again + missing
+        young.update(zip(chunks, values))
+        self.bytes += self.ENTRY * len(chunks) + sum(map(len, chunks)) + self.weight(values)
+        return young
 
 
 def word_bpe(path: str) -> WordBpe:
@@ -298,7 +308,7 @@ def _digest_cache(model: WordBpe) -> Cache:
             out.append((len(ids), b" ".join([decimal[i] for i in ids]), b" ".join([shown[i] for i in ids])))
         return out
 
-    return Cache(make)
+    return Cache(make, weight=lambda values: sum(150 + len(v[1]) + len(v[2]) for v in values))
 
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -339,4 +349,4 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
         return {"doc_id": part["doc_id"], "n_tokens": n, "ids_sha256": ids, "decoded_sha256": decoded}
 
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return map_rows(docs.select("doc_id", "text"), run, schema, rows=512)
+    return map_rows(docs.select("doc_id", "text"), run, schema, rows=1024)
