@@ -60,6 +60,35 @@ def test_linked_sets_share_a_signature(seed):
             assert np.intersect1d(jaccard.signatures(one, common), jaccard.signatures(other, common)).size
 
 
+def test_words_made_to_meet_have_hashes_of_their_own(spark):
+    signs = [0]
+    while len(signs) < 1024:
+        signs += [1 - s for s in signs]
+    one, other = ("".join(pair[s] for s in signs) for pair in ("ab", "ba"))
+    a, b = shingles.shingle_sets([one, other])
+    assert a.size == b.size == 1 and a[0] != b[0]
+    docs = frame_of(spark, [(1, one, "s", 1, "k", 2, 3), (2, other, "s", 1, "k", 2, 3)])
+    assert sorted((r.doc_id, r.component_id) for r in jaccard.classes(docs).collect()) == [(1, 1), (2, 2)]
+
+
+def test_thresholds_of_large_sets_are_exact():
+    own = np.arange(400_000, dtype=np.uint64)
+    at = np.concatenate([own, np.arange(500_000, 600_000, dtype=np.uint64)])  # 400,000 of 500,000
+    below = np.append(at, np.uint64(700_000))
+    assert jaccard.links_within([(1, 1, own)], [(2, 2, at)]) == [(1, 2)] and jaccard.links_within([(1, 1, own)], [(2, 2, below)]) == []
+
+
+def test_slices_are_cut_by_bytes():
+    import pyarrow as pa
+
+    from tidemark.llm.common import slices
+
+    texts = ["x" * 10] * 7 + [None, "y" * 100, "", "z" * 30, "é" * 20]
+    batch = pa.RecordBatch.from_pydict({"n": list(range(12)), "text": texts})
+    parts = [p["text"] for p in slices([batch, batch.slice(12)], rows=4, size=45)]
+    assert parts == [["x" * 10] * 4, ["x" * 10] * 3 + [None], ["y" * 100], ["", "z" * 30], ["é" * 20]]
+
+
 def test_classes(spark):
     for seed in range(2):
         rows = documents(seed)

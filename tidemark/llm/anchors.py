@@ -9,12 +9,34 @@ from __future__ import annotations
 import numpy as np
 
 from tidemark.llm.common import mix64
-from tidemark.llm.shingles import _CODES, powers
+from tidemark.llm.shingles import _CODES, BLOCK
 
 WIDTH = 200
 KEY = 100
 STEP = 1 << 19  # window starts worked at once
 _PLACE = np.uint64((1 << 24) - 1)
+_BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+
+
+def _powers(base: int, size: int) -> np.ndarray:
+    """base^0 .. base^(size-1) modulo 2^64."""
+    out = np.ones(1, np.uint64)
+    step = base
+    while out.size < size:
+        out = np.concatenate([out, out * np.uint64(step)])
+        step = step * step & 0xFFFFFFFFFFFFFFFF
+    return out[:size]
+
+
+_POWER: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    key = max(BLOCK, 1 << (size - 1).bit_length())
+    if key not in _POWER:
+        _POWER.clear()
+        _POWER[key] = (_powers(_BASE, key), _powers(_INVERSE, key))
+    return _POWER[key]
 
 
 class Digests:

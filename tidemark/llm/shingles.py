@@ -1,7 +1,7 @@
 """Word shingles of whole texts as 64-bit hashes, by numpy over the bytes of many texts at once.
 
-A word's hash is a polynomial over its bytes' random codes modulo 2^64, read off a running sum; a shingle mixes the hashes
-of its words in order.
+A word's hash adds up, for each of its bytes, a scrambled mix of byte and place, so that no two words made for it meet; a
+shingle mixes the hashes of its words in order.
 """
 
 from __future__ import annotations
@@ -17,40 +17,25 @@ _LOWER[65:91] += 32
 _CODE = _CODES[_LOWER]
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _WEIGHTS = mix64(np.arange(101, 200, dtype=np.uint64))
 
 
-def _powers(base: int, size: int) -> np.ndarray:
-    """base^0 .. base^(size-1) modulo 2^64."""
-    out = np.ones(1, np.uint64)
-    step = base
-    while out.size < size:
-        out = np.concatenate([out, out * np.uint64(step)])
-        step = step * step & 0xFFFFFFFFFFFFFFFF
-    return out[:size]
-
-
-_POWER: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    key = max(BLOCK, 1 << (size - 1).bit_length())
-    if key not in _POWER:
-        _POWER.clear()
-        _POWER[key] = (_powers(_BASE, key), _powers(_INVERSE, key))
-    return _POWER[key]
+_PLACES = 64
+_PLACE = mix64(np.arange(1001, 1001 + _PLACES, dtype=np.uint64))
 
 
 def _words_of_block(raw: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     space = breaks[raw]
     edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
     starts, ends = edge[0::2], edge[1::2]
-    up, down = powers(raw.size + 1)
-    sums = np.zeros(raw.size + 1, np.uint64)
-    np.cumsum(_CODE[raw] * up[: raw.size], out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * down[starts]
-    return starts, mix64(hashes ^ (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    if not starts.size:
+        return starts, np.zeros(0, np.uint64)
+    sizes = ends - starts
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+    at = _PLACE[place] if sizes.max() <= _PLACES else mix64(place.astype(np.uint64) + np.uint64(1001))
+    hashes = np.add.reduceat(mix64(_CODE[raw[~space]] ^ at), first)
+    return starts, mix64(hashes ^ sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def words(data: bytes, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
