@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import hashlib
 import os
@@ -71,6 +72,7 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE, size: int = SLI
             number = max(1, min(rows, fit))
             yield batch.slice(start, number).to_pydict()
             start += number
+    trim()
 
 
 def _text_bytes(batch: pa.RecordBatch) -> np.ndarray:
@@ -131,7 +133,26 @@ def kept(key: tuple, make: Callable[[], object]):
 
 def release() -> None:
     """Drop what other operators' tasks have left in this worker."""
-    _KEPT.clear()
+    if _KEPT:
+        _KEPT.clear()
+        trim()
+
+
+def trim() -> None:
+    """Hand freed memory back to the system: workers wait for their next task, and several share a machine."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def _system_trim() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return None
+
+
+_TRIM = _system_trim()
 
 
 def sha256(data: bytes) -> str:

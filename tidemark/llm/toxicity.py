@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Cache
-from tidemark.llm.common import kept, map_rows
+from tidemark.llm.common import kept, map_rows, trim
 
 SAMPLE = 40_000  # labelled rows read for learning, about; so few are broadcast by id
 LEXICON = 2_000  # words at most
@@ -333,6 +333,7 @@ def score_column(model: Model, text: str | Column = "text") -> Column:
         out = []
         for start in range(0, len(texts), 256):
             out.append(scorer.probability(scorer(texts.iloc[start : start + 256].tolist())[0]))
+        trim()
         return pd.Series(np.concatenate(out) if out else np.zeros(0))
 
     return score(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
