@@ -6,6 +6,7 @@ from conftest import rows
 from tidemark.layers import RUN_LOG_SCHEMA
 from tidemark.operators import monitor
 from tidemark.operators.parity import BoardEntry, board_totals, count_board, layer_counts, parity_board
+from tidemark.operators.keys import minimal_keys
 from tidemark.operators.registry import keep_existing, profile_table, replace_entries
 
 NOW = datetime(2024, 1, 10)
@@ -133,3 +134,58 @@ def test_profile(frame):
     assert not found["grp"].is_key and found["grp"].null_keys == 1 and found["grp"].load_type == "full"
     assert found["id,grp"].null_keys == 1 and found["id,grp"].partition_num == 1
     assert found["id"].watermark_min == "2024-01-01 00:00:00"
+
+
+def test_minimal_keys_against_all_subsets(spark, frame):
+    """Random small tables: every set of columns counted by hand."""
+    from itertools import combinations
+    from random import Random
+
+    for seed in range(4):
+        random = Random(seed)
+        names = ["a", "b", "c", "d"]
+        data = [tuple(random.randrange(k) for k in (3, 9, 30, 200)) for _ in range(random.choice([2, 25, 60]))]
+        data = [(*r[:2], f"x{r[2]}", r[3]) for r in data]
+        df = frame(data, "a int, b long, c string, d long")
+        expected = []
+        for width in (1, 2, 3):
+            for places in combinations(range(4), width):
+                key = ",".join(names[i] for i in places)
+                smaller = any(set(k.split(",")) <= set(key.split(",")) for k in expected)
+                if not smaller and len({tuple(r[i] for i in places) for r in data}) == len(data):
+                    expected.append(key)
+        assert sorted(r.key_columns for r in minimal_keys(df, 3).collect()) == sorted(expected), (seed, data)
+
+
+def test_minimal_keys_of_odd_tables(frame):
+    rows_of = lambda df, **kw: sorted(tuple(r) for r in minimal_keys(df, **kw).collect())
+    schema = "id int, `odd.name` string, x double, tags array<int>"
+    assert rows_of(frame([], schema)) == []
+    assert rows_of(frame([(1, "p", 1.0, [1])], schema)) == [("id", 1, 1), ("odd.name", 1, 1)]
+    # A NULL rules a column out even if its other values differ, and floating-point columns never take part.
+    mixed = [(None, "p", 1.0, [1]), (2, "q", 2.0, [2]), (3, "", 3.0, [3])]
+    assert rows_of(frame(mixed, schema)) == [("odd.name", 1, 3)]
+    assert rows_of(frame(mixed, schema), columns=["x", "id"]) == []
+    # Repeated rows leave no key.
+    assert rows_of(frame([(1, "p", 1.0, [1])] * 2, schema)) == []
+    with pytest.raises(ValueError, match="no such columns: nope"):
+        minimal_keys(frame([], schema), columns=["nope"])
+
+
+def test_minimal_keys_scan_few_sets(spark, monkeypatch):
+    """What the counts of the parts rule out is never looked at; a late repeat is found on all rows."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import keys
+
+    tried = []
+    inner = keys._estimates
+    monkeypatch.setattr(keys, "_estimates", lambda df, sets: tried.extend(sets) or inner(df, sets))
+    n = 20_000
+    df = spark.range(n).select(
+        F.col("id").alias("hi"), (F.col("id") % 7).alias("lo"), (F.col("id") % 11).alias("mid"),
+        F.when(F.col("id") == n - 1, 0).otherwise(F.col("id")).alias("nearly"),
+    )
+    # One repeat in 20,000 rows, of the first and last, which agree in "lo" too: no sketch sees it.
+    assert [r.key_columns for r in minimal_keys(df, 2).collect()] == ["hi", "mid,nearly"]
+    assert ("lo", "mid") not in tried and not any("hi" in s for s in tried if len(s) > 1)

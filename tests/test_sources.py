@@ -218,3 +218,27 @@ def test_clocks_follow_the_zone(spark):
     sources = {("shop", "orders"): SourceSpec("parquet", "/nowhere", zone="America/Los_Angeles")}
     at = clocks(spark, sources, lambda: datetime(2024, 1, 1, 20, tzinfo=timezone.utc))
     assert at(TableSpec("shop", "orders", "ORDERS")) == datetime(2024, 1, 1, 12)
+
+
+def test_balanced_ranges(spark, frame):
+    from pyspark.sql import functions as F
+
+    from tidemark.sources.ranges import balanced_bounds, range_predicates, reader_of
+
+    skewed = spark.range(10_000).select((F.col("id") * F.col("id") * F.col("id")).alias("k"))
+    bounds = balanced_bounds(skewed, "k", 8)
+    counts = [r["count"] for r in skewed.groupBy(reader_of("k", bounds)).count().collect()]
+    assert len(counts) == 8 and max(counts) < 1.05 * 10_000 / 8
+    # Conditions split all rows, NULLs and values beyond the ends too.
+    other = frame([(None,), (-5,), (10**13,), (bounds[0],), (bounds[-1],)], "k long")
+    hits = [other.where(p).count() for p in range_predicates("k", bounds)]
+    assert sum(hits) == 5 and hits[0] == 2 and hits[-1] == 2 and hits[1] == 1
+    # One value with most rows keeps them together and leaves fewer ranges.
+    hot = frame([(7,)] * 90 + [(i,) for i in range(10)], "k int")
+    assert 1 <= len(balanced_bounds(hot, "k", 8)) <= 3
+    empty = frame([], "k int")
+    assert balanced_bounds(empty, "k", 4) == [] and range_predicates("k", []) == ["1 = 1"]
+    days = frame([(ts("2024-01-01"),), (ts("2024-01-02"),), (ts("2024-01-03"),)], "k timestamp_ntz")
+    assert sum(days.where(p).count() for p in range_predicates("k", balanced_bounds(days, "k", 3))) == 3
+    with pytest.raises(ValueError, match="at least one reader"):
+        balanced_bounds(empty, "k", 0)

@@ -28,6 +28,7 @@ from tidemark.operators.sketch import missing_keys_by_sketch
 from tidemark.operators.reconcile import missing_keys, soft_delete
 from tidemark.sources.dump import read_dump, write_dump
 from tidemark.sources.files import read_by_name, write_delta
+from tidemark.sources.ranges import balanced_bounds, range_predicates, reader_of
 from tidemark.sources.window import incremental_window, window_bounds
 from tidemark.staging import scratch_path, stage
 
@@ -284,3 +285,29 @@ def drift_report(spark: SparkSession, folder: str) -> DataFrame:
     for line in lines[1:]:
         out = out.unionByName(line)
     return out
+
+
+READERS = 8
+SKEWED = "l_orderkey * l_orderkey"
+
+
+@query(
+    f"""SELECT cast({READERS} AS bigint) AS readers, count(*) AS row_count, sum({SKEWED})::decimal(38,0) AS key_sum,
+  true AS met_by_one, true AS balanced FROM lineitem"""
+)
+def balanced_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """A skewed column dealt to eight readers: each row meets one reader's condition, none has 1.5 times the mean."""
+    lines = table(spark, folder, "lineitem").select(F.expr(SKEWED).alias("k"))
+    bounds = balanced_bounds(lines, "k", READERS)
+    met = sum((F.expr(p).cast("int") for p in range_predicates("k", bounds)), F.lit(0))
+    readers = lines.groupBy(reader_of("k", bounds).alias("reader")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("k").cast("decimal(28,0)")).alias("s"),
+        F.min(met).alias("least"), F.max(met).alias("most"),
+    )
+    return readers.agg(
+        F.count(F.lit(1)).alias("readers"),
+        F.sum("n").alias("row_count"),
+        F.sum("s").cast("decimal(38,0)").alias("key_sum"),
+        ((F.min("least") == 1) & (F.max("most") == 1)).alias("met_by_one"),
+        (F.max("n") * READERS <= F.sum("n") * 1.5).alias("balanced"),
+    )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.catalog.base import query, table
+from tidemark.catalog.base import money, query, table
 from tidemark.catalog.log import LOG_SQL, run_log
 from tidemark.operators import monitor
+from tidemark.operators.keys import minimal_keys
 from tidemark.operators.registry import keep_existing, profile_table, replace_entries
 
 REGISTRY_SQL = """registry AS (SELECT 'DB' || cast(c_custkey // 50 AS varchar) AS source_db,
@@ -124,3 +127,37 @@ def profile_events(spark: SparkSession, folder: str) -> DataFrame:
 def profile_conversations(spark: SparkSession, folder: str) -> DataFrame:
     """A composite key without a watermark: full loads only."""
     return profile_table(table(spark, folder, "conversations"), [["conv_id"], ["conv_id", "turn"]])
+
+
+LINEITEM_COLUMNS = (
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus "
+    "l_shipdate"
+).split()
+LINEITEM_MONEY = """(SELECT * REPLACE (cast(l_quantity AS decimal(18,2)) AS l_quantity, cast(l_discount AS decimal(18,2))
+  AS l_discount, cast(l_extendedprice AS decimal(18,2)) AS l_extendedprice, cast(l_tax AS decimal(18,2)) AS l_tax)
+  FROM lineitem)"""
+
+
+def _keys_sql(source: str, columns: list[str], most: int) -> str:
+    """Every set of columns counted, then those without a smaller key in them."""
+    sets = [s for width in range(1, most + 1) for s in combinations(columns, width)]
+    counted = " UNION ALL ".join(
+        f"SELECT {list(s)} AS c, count(DISTINCT row({', '.join(s)})) AS d, count(*) AS n, "
+        f"count(*) FILTER (WHERE {' OR '.join(f'{c} IS NULL' for c in s)}) AS nulls FROM {source}"
+        for s in sets
+    )
+    return f"""WITH k AS (SELECT c, n FROM ({counted}) WHERE d = n AND nulls = 0 AND n > 0)
+SELECT array_to_string(c, ',') AS key_columns, cast(len(c) AS integer) AS width, n AS row_count FROM k
+WHERE NOT EXISTS (SELECT 1 FROM k AS part WHERE len(part.c) < len(k.c) AND list_has_all(k.c, part.c))"""
+
+
+@query(_keys_sql(LINEITEM_MONEY, LINEITEM_COLUMNS, 3))
+def keys_of_lineitem(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys of up to three columns, no candidate given, in a table whose obvious key repeats."""
+    return minimal_keys(money(table(spark, folder, "lineitem")), 3)
+
+
+@query(_keys_sql("conversations", ["conv_id", "turn", "role", "text"], 3))
+def keys_of_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys of a table of texts: what is compared is hashes, however long the values."""
+    return minimal_keys(table(spark, folder, "conversations"), 3)

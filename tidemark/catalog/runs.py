@@ -224,3 +224,57 @@ def sync_run_log(spark: SparkSession, folder: str) -> DataFrame:
     return runner.audit.log().select(
         "SOURCE_DB", "SOURCE_TABLE", "TARGET_TABLE", "LOAD_TYPE", "STATUS", "ROWS_RAW"
     )
+
+
+def _log_sql(batch: int, name: str, kind: str, status: str, rows: str, rest: str) -> str:
+    """One line of the log; ``rest`` is target rows, step, and the watermark's ends."""
+    return f"""SELECT cast({batch} AS integer) AS batch, '{name}' AS "SOURCE_TABLE", '{kind}' AS "LOAD_TYPE",
+  '{status}' AS "STATUS", {rows} AS "ROWS_EXTRACTED", {rest}"""
+
+
+_END = "strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S')"
+_NOTHING = "cast(NULL AS varchar)"
+
+
+@query(
+    " UNION ALL ".join(
+        [
+            _log_sql(
+                1, "orders", "full", "success", "count(*)",
+                f"""count(*) AS "ROWS_SILVER", {_NOTHING} AS "FAILED_STEP", {_NOTHING} AS "WATERMARK_FROM",
+  {_END} AS "WATERMARK_TO" FROM orders WHERE o_orderdate <= timestamp '{ORDERS_CUT}'""",
+            ),
+            _log_sql(
+                1, "customer", "full", "failed", "0::bigint",
+                f"0::bigint, 'load_full', {_NOTHING}, {_NOTHING}",
+            ),
+            _log_sql(
+                2, "orders", "incremental", "success",
+                f"count(*) FILTER (WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate <= timestamp '{ORDERS_CUT}'))",
+                f"count(*), {_NOTHING}, (SELECT {_END} FROM orders WHERE o_orderdate <= timestamp '{ORDERS_CUT}'), {_END} FROM orders",
+            ),
+            _log_sql(
+                2, "customer", "full", "success", "count(*)",
+                f"count(*), {_NOTHING}, {_NOTHING}, {_NOTHING} FROM customer",
+            ),
+        ]
+    )
+)
+def sync_isolated_failure(spark: SparkSession, folder: str) -> DataFrame:
+    """The log of two tables run side by side: a source that fails while it is read stops neither the other nor the next run."""
+    by_order = ORDERS.with_(keys=("O_ORDERKEY",))
+    customers = TableSpec("shop", "customer", "CUSTOMER", keys=("C_CUSTKEY",))
+    whole = table(spark, folder, "customer").select("c_custkey", "c_name")
+    lost = F.when(F.col("c_custkey") % 10 == 0, F.raise_error(F.lit("connection lost"))).otherwise(F.col("c_name"))
+    current = {"orders": orders_until(spark, folder, ORDERS_CUT), "customer": whole.withColumn("c_name", lost)}
+    when = [datetime(2024, 2, 1, 3)]
+    store = TableStore(spark, scratch_path(spark, "store"))
+    runner = Sync(spark, store, lambda spec: current[spec.source_table], clock=lambda: when[-1])
+    runner.run([customers, by_order])
+    current |= {"orders": orders(spark, folder), "customer": whole}
+    when.append(datetime(2024, 2, 2, 3))
+    _must(runner.run([customers, by_order]))
+    return runner.audit.log().select(
+        F.when(F.col("RUN_START_UTC") < F.lit(when[-1]), 1).otherwise(2).alias("batch"),
+        "SOURCE_TABLE", "LOAD_TYPE", "STATUS", "ROWS_EXTRACTED", "ROWS_SILVER", "FAILED_STEP", "WATERMARK_FROM", "WATERMARK_TO",
+    )
