@@ -283,6 +283,34 @@ def test_each_notice_is_told_from_the_others(spark):
         assert [(s.license, s.coverage) for s in r.licenses] == [(names[r.doc_id], 1.0)]
 
 
+def test_licenses_of_other_names_and_versions_are_not_taken_for_known_ones(spark):
+    cc = "This work is licensed under a Creative Commons Attribution"
+    wanted = {
+        "released under the old driving license": [],
+        "Licensed under the Elastic License": [],
+        "Licensed under CC BY 3.0.": [],
+        "Licensed under CC BY-NC 3.0.": [],
+        f"{cc} 2.5 Generic License.": [],
+        f"{cc} 3.0 International License.": ["cc-by-3.0"],
+        f"{cc} 4.0 International License.": ["cc-by-4.0"],
+        "This work is licensed under the GNU General Public License, version 2.": ["gpl-2.0"],
+        "Licensed under the GNU Lesser General Public License, version 2.1.": ["lgpl-2.1"],
+        "Licensed under the GNU Free Documentation License, version 3.": [],
+        "Released under an MIT License": ["mit"],
+    }
+    rows = [(i, t, "s", 1, "k", 2, 3) for i, t in enumerate(wanted)]
+    got = {r.doc_id: [s.license for s in r.licenses] for r in licenses.scan(frame_of(spark, rows)).collect()}
+    assert got == dict(enumerate(wanted.values()))
+
+
+def test_many_notices_in_one_text(spark):
+    rng = random.Random(8)
+    said = [rng.choice(sorted(licenses.NOTICES)) for _ in range(400)]
+    text = " and so on ".join(licenses.NOTICES[n] for n in said)
+    (row,) = licenses.scan(frame_of(spark, [(1, text, "s", 1, "k", 2, 3)])).collect()
+    assert [s.license for s in row.licenses] == said
+
+
 def test_every_alignment_that_covers_enough_is_a_candidate():
     """Against alignments around every diagonal, for all notices with random words changed, left out and put in."""
     rng = random.Random(5)
