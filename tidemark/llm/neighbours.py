@@ -17,14 +17,18 @@ from pyspark.sql import functions as F
 from tidemark.llm.vectors import QUERY_EVERY, Heaps, best, blocks, merged, one_per_id, tiles, usable
 
 SLACK = 1e-9  # relative room for rounding in the bounds
+LEAST = np.finfo(np.float64).tiny  # room for products too small for a double
 
 
 def quantised(matrix: np.ndarray) -> dict[str, bytes]:
+    """int8 components, the vectors, and four numbers of each: scale and norms, taken of components over the largest one."""
     peak = np.abs(matrix).max(axis=1)
-    scale = np.where(peak > 0, peak / 127, 1.0)
+    scale = np.maximum(peak / 127, LEAST)
     small = np.rint(matrix / scale[:, None]).astype(np.int8)
     kept = small * scale[:, None]
-    lost, near, own = (np.sqrt((m * m).sum(axis=1)) for m in (matrix - kept, kept, matrix))
+    unit = np.maximum(peak, LEAST)
+    with np.errstate(over="ignore"):  # a norm that no double holds is infinite
+        lost, near, own = (np.sqrt(((m / unit[:, None]) ** 2).sum(axis=1)) * unit for m in (matrix - kept, kept, matrix))
     return {"small": small.tobytes(), "exact": matrix.tobytes(), "scale": np.stack([scale, lost, near, own]).tobytes()}
 
 
@@ -36,20 +40,37 @@ def unpack(row: dict, side: str):
     return ids, small, np.frombuffer(row[f"{side}_exact"]).reshape(ids.size, size), scale, lost, near, own
 
 
+def inner(values: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products in double precision; one that no double holds is infinite, also where terms of both signs are."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = (values * query).sum(axis=1)
+    for n in np.flatnonzero(~np.isfinite(out)):
+        low, high = np.frexp(np.abs(values[n]).max())[1], np.frexp(np.abs(query).max())[1]
+        with np.errstate(over="ignore"):
+            out[n] = np.ldexp((np.ldexp(values[n], -low) * np.ldexp(query, -high)).sum(), low + high)
+    return out
+
+
 def tile_into(heaps: Heaps, row: dict, k: int, step: int = 256) -> None:
     """Offer one tile's survivors to the heaps."""
     q_ids, q_small, q_exact, q_scale, q_lost, q_near, q_own = unpack(row, "q")
     c_ids, c_small, c_exact, c_scale, c_lost, c_near, c_own = unpack(row, "c")
     wide = c_small.astype(np.float32).T  # products of int8 stay exact in float32 below 2^24, so split long vectors
+    with np.errstate(over="ignore"):
+        beyond = not np.isfinite(8 * q_own.max() * c_own.max())
     for at in range(0, q_ids.size, step):
         part = slice(at, at + step)
         product = np.zeros((q_ids[part].size, c_ids.size))
         for d in range(0, q_small.shape[1], 1024):
             product += q_small[part, d : d + 1024].astype(np.float32) @ wide[d : d + 1024]
-        product *= q_scale[part, None] * c_scale
-        error = q_lost[part, None] * c_own + q_near[part, None] * c_lost
-        error += SLACK * (q_own[part, None] * c_own)
-        lower, upper = product - error, product + error
+        with np.errstate(over="ignore", invalid="ignore"):
+            product *= q_scale[part, None] * c_scale
+            error = q_lost[part, None] * c_own + q_near[part, None] * c_lost
+            error += SLACK * (q_own[part, None] * c_own) + LEAST * q_small.shape[1]
+            lower, upper = product - error, product + error
+        if beyond:  # bounds that no double holds tell nothing
+            unknown = ~(np.isfinite(product) & np.isfinite(error))
+            lower[unknown], upper[unknown] = -np.inf, np.inf
         own = q_ids[part, None] == c_ids
         lower[own] = upper[own] = -np.inf
         if c_ids.size > k:
@@ -59,7 +80,7 @@ def tile_into(heaps: Heaps, row: dict, k: int, step: int = 256) -> None:
         for n, query in enumerate(q_ids[part].tolist()):
             floor = heaps.floor(query)
             keep = np.flatnonzero((upper[n] >= (cut[n] if floor is None else max(cut[n], floor))) & (upper[n] > -np.inf))
-            exact = (c_exact[keep] * q_exact[at + n]).sum(axis=1)
+            exact = inner(c_exact[keep], q_exact[at + n])
             chosen = best(exact, c_ids[keep], k)
             heaps.add(query, exact[chosen].tolist(), c_ids[keep][chosen].tolist())
 
@@ -69,6 +90,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
 
     Vectors that are null, empty, zero or hold a null or non-finite component take no part; only vectors of a query's own length are its
     candidates.  Ties go to the smaller id.  A candidate that repeats counts each time; of queries with one id the smallest vector asks.
+    A product that no double holds is infinite.
     """
     columns = ("small", "exact", "scale")
     nonzero = F.exists("embedding", lambda x: x != 0)

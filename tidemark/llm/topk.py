@@ -26,20 +26,24 @@ from tidemark.llm.vectors import Heaps, best, blocks, merged, one_per_id, tiles,
 FACTOR = 64
 LISTS = 2
 
-
-HIDDEN = -(2**60)  # part of a query's own row
-SEEN = -(2**59)
+LIMIT = 2**61  # a score beyond it counts as it
+HIDDEN = -(2**62)  # part of a query's own row
+SEEN = -LIMIT - 1
+NONE = 2**62
+LOW_BITS = 31  # whole numbers travel beside components as two doubles, so that no digit is lost
 
 
 def whole(matrix: np.ndarray) -> dict[str, bytes]:
-    """Components as whole numbers, floor(FACTOR * x)."""
-    return {"values": np.floor(FACTOR * matrix).tobytes()}
+    """Components as whole numbers, floor(FACTOR * x); one that no double holds is the largest double."""
+    with np.errstate(over="ignore"):
+        return {"values": np.nan_to_num(np.floor(FACTOR * matrix)).tobytes()}
 
 
 def with_cutoffs(matrix: np.ndarray) -> dict[str, bytes]:
     """The same, and the numbers of phase 1 that go with each query."""
-    split = matrix.shape[1] - 1 - LISTS
-    return {"values": np.floor(FACTOR * matrix[:, :split]).tobytes(), "limits": np.ascontiguousarray(matrix[:, split:]).tobytes()}
+    split = matrix.shape[1] - 2 * (1 + LISTS)
+    halves = matrix[:, split:].astype(np.int64)
+    return {**whole(matrix[:, :split]), "limits": ((halves[:, 0::2] << LOW_BITS) + halves[:, 1::2]).tobytes()}
 
 
 def cut(size: int) -> list[slice]:
@@ -48,16 +52,37 @@ def cut(size: int) -> list[slice]:
     return [slice(a, b) for a, b in zip(edges, edges[1:])]
 
 
-def exact(query: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Inner products of whole numbers, exactly.
+def large(query: np.ndarray, values: np.ndarray) -> np.ndarray | None:
+    """Pairs whose sums need not stay below 2^53; None if there are none."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        total, peak = np.abs(query).sum(axis=1), np.abs(values).max(axis=1, initial=0)
+        if total.max(initial=0) * peak.max(initial=0) < 2**53:
+            return None
+        return ~(total[:, None] * peak < 2**53)
 
-    In doubles where every sum stays below 2^53, else by Python's integers; a score beyond 64 bits is an error.
-    """
-    bound = np.abs(query).sum(axis=1).max(initial=0) * np.abs(values).max(initial=0)
-    if bound < 2**53:
-        return (query @ values.T).astype(np.int64)
-    rows = [[sum(int(a) * int(b) for a, b in zip(q, v)) for v in values] for q in query]
-    return np.array(rows, np.int64).reshape(len(query), len(values))
+
+def exact(query: np.ndarray, values: np.ndarray, big: np.ndarray | None) -> np.ndarray:
+    """Inner products of whole numbers, exactly: in doubles where every sum stays below 2^53, else by Python's integers."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        product = query @ values.T
+    if big is None:
+        return product.astype(np.int64)
+    out = np.where(big, 0, product).astype(np.int64)
+    for m, n in zip(*np.nonzero(big)):
+        score = sum(int(a) * int(b) for a, b in zip(query[m], values[n]))
+        out[m, n] = max(-LIMIT, min(LIMIT, score))
+    return out
+
+
+def split(query: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Parts (list, query, candidate); a large score is all in the first list, so that no part is beyond LIMIT."""
+    big = large(query, values)
+    if big is None:
+        return np.stack([exact(query[:, s], values[:, s], None) for s in cut(query.shape[1])])
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = np.stack([np.where(big, 0, query[:, s] @ values[:, s].T) for s in cut(query.shape[1])]).astype(np.int64)
+    out[0, big] = exact(query, values, big)[big]
+    return out
 
 
 def parts(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -66,7 +91,7 @@ def parts(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     q_ids, c_ids = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["c_ids"], np.int64)
     q = np.frombuffer(row["q_values"]).reshape(q_ids.size, size)
     c = np.frombuffer(row["c_values"]).reshape(c_ids.size, size)
-    out = np.stack([exact(q[:, s], c[:, s]) for s in cut(size)])
+    out = split(q, c)
     out[:, q_ids[:, None] == c_ids] = HIDDEN
     return q_ids, c_ids, out
 
@@ -86,9 +111,9 @@ def gather(pairs: DataFrame, k: int) -> DataFrame:
         for row in rows_of_batches(batches):
             q_ids, c_ids, own = parts(row)
             for n, part in enumerate(own):
-                low = np.where(part > SEEN, part, 2**60).min(axis=1)
+                low = np.where(part > SEEN, part, NONE).min(axis=1)
                 for m, query in enumerate(q_ids.tolist()):
-                    least[n, query] = min(least.get((n, query), 2**60), int(low[m]))
+                    least[n, query] = min(least.get((n, query), NONE), int(low[m]))
                     floor = heaps[n].floor(query)
                     rows = np.flatnonzero(part[m] >= (SEEN if floor is None else floor))
                     top = rows[best(part[m][rows], c_ids[rows], k)]
@@ -104,7 +129,7 @@ def gather(pairs: DataFrame, k: int) -> DataFrame:
 
 
 def limits(gathered: DataFrame, k: int) -> DataFrame:
-    """``query_id, limits``: the lower bound of the k-th best shifted score, then each list's smallest part."""
+    """``query_id, limits``: the lower bound of the k-th best shifted score, then each list's smallest part, each as two doubles."""
     lows = gathered.groupBy("query_id", "list").agg(F.min("least").alias("low"))
     # A candidate that repeats has its parts several times; one of each list counts, so the sum stays a lower bound.
     bounds = (
@@ -118,7 +143,8 @@ def limits(gathered: DataFrame, k: int) -> DataFrame:
     )
     shift = lows.groupBy("query_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("list", "low"))), lambda x: x["low"]).alias("lows"))
     every = F.concat(F.array(F.coalesce("bound", F.lit(0))), "lows")
-    return bounds.join(shift, "query_id").select("query_id", every.cast("array<double>").alias("limits"))
+    halves = F.flatten(F.transform(every, lambda x: F.array(F.shiftright(x, LOW_BITS), x.bitwiseAND(F.lit(2**LOW_BITS - 1)))))
+    return bounds.join(shift, "query_id").select("query_id", halves.cast("array<double>").alias("limits"))
 
 
 def resolve(pairs: DataFrame, k: int) -> DataFrame:
@@ -128,11 +154,11 @@ def resolve(pairs: DataFrame, k: int) -> DataFrame:
         heaps = Heaps(k)
         for row in rows_of_batches(batches):
             q_ids, c_ids, own = parts(row)
-            known = np.frombuffer(row["q_limits"]).reshape(q_ids.size, 1 + LISTS).astype(np.int64)
+            known = np.frombuffer(row["q_limits"], np.int64).reshape(q_ids.size, 1 + LISTS)
             for m, query in enumerate(q_ids.tolist()):
                 bound, lows = known[m, 0], known[m, 1:]
                 shifted = own[:, m] - lows[:, None]
-                cutoff = bound / LISTS
+                cutoff = -(-bound // LISTS)
                 sent = shifted >= cutoff
                 upper = np.where(sent, shifted, cutoff).sum(axis=0)
                 rows = np.flatnonzero(sent.any(axis=0) & (upper >= bound))
@@ -155,12 +181,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
 
     Vectors that are null, empty or hold a null or non-finite component take no part; only vectors of a query's own length
     are its candidates.  Ties go to the smaller id.  A candidate that repeats counts each time; of queries with one id the
-    smallest vector asks.
+    smallest vector asks.  Scores are exact up to LIMIT; those beyond count as LIMIT, or its negative.
     """
     candidates = stage(blocks(usable(vectors), whole, ("values",)), "blocks")
     asked = one_per_id(usable(queries))
     gathered = stage(gather(tiles(blocks(asked, whole, ("values",)), candidates), k), "gathered")
     limited = asked.join(limits(gathered, k), asked["vec_id"] == F.col("query_id"))
     limited = limited.select("vec_id", F.concat("embedding", "limits").alias("embedding"))
-    again = blocks(limited, with_cutoffs, ("values", "limits"), extra=1 + LISTS)
+    again = blocks(limited, with_cutoffs, ("values", "limits"), extra=2 * (1 + LISTS))
     return merged(resolve(tiles(again, candidates), k), k)
