@@ -245,6 +245,30 @@ def test_toxicity_on_held_out_rows(spark):
     assert spans[1].spans[0].start == 0 and spans[2].spans == spans[3].spans == [] and spans[2].score == spans[3].score
 
 
+def test_toxicity_of_long_texts(spark):
+    """Long clean texts stay clean, a toxic passage far into a long text is found at its place; texts of one length are alike."""
+    rng = random.Random(7)
+    docs, labels = labelled(spark)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    fill = [[rng.choice(words) for _ in range(20_000)] for _ in range(4)]
+    rows = [(10_000 + i, " ".join(f)) for i, f in enumerate(fill)]
+    labels = labels.unionByName(spark.createDataFrame([(r[0], 0) for r in rows], "doc_id long, toxic int"))
+    more = spark.createDataFrame([(r[0], r[1], "s", 1, "k", 2, 3) for r in rows], docs.schema)
+    model = toxicity.fit(docs.unionByName(more), labels)
+    said = "vile nasty rotten vile"
+    clean = " ".join(fill[0][::-1])
+    late = " ".join(["stray", *fill[1][:19_000], said, *fill[1][19_000:]])
+    huge = " ".join([*fill[2] * 30, said])
+    texts = [(1, clean), (2, late), (3, clean), (4, None), (5, ""), (6, huge), (2, late)]
+    found = toxicity.spans(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()
+    got = {r.doc_id: r for r in found}
+    assert len(found) == len(texts) and got[1].score == got[3].score < toxicity.THRESHOLD and got[1].spans == []
+    for doc, text in ((2, late), (6, huge)):
+        assert got[doc].score >= toxicity.THRESHOLD
+        assert [text[s.start : s.end] for s in got[doc].spans] == [said]
+    assert got[4].score == got[5].score < toxicity.THRESHOLD
+
+
 def test_rare_toxic_rows_all_count(spark):
     """A sample holds every toxic row while it has room, and scores stay true to the rate of all labelled rows."""
     assert toxicity.draw(100, 9900, 400) == (1.0, 300 / 9900) and toxicity.draw(9900, 100, 400) == (300 / 9900, 1.0)

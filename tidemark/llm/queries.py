@@ -26,8 +26,14 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity.fit(docs, table(spark, folder, "labels"))
-    scored = docs.select("doc_id", toxicity.held_out().alias("held_out"), toxicity.score_column(model).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+    offsets = F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return toxicity.spans(docs, model).select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.concat_ws(",", offsets).alias("spans"),
+    )
 
 
 @query("op3_pii")

@@ -4,9 +4,9 @@ Learning: a lexicon of words that labelled toxic documents use in many different
 lend it no weight) turns document labels into token labels.  The field's two states are clean and toxic; a token's features
 are the lexicon strength of the word and of its neighbours.  It is trained by gradient ascent on the likelihood of the
 labelled tokens.  Scoring: forward-backward gives each token's toxic probability; their sum, the expected number of toxic
-tokens, goes through a logistic curve fitted to document labels.
+tokens, less that of a text as long without a word of the lexicon, goes through a logistic curve fitted to document labels.
 
-What reaches the driver is bounded: LEXICON words and TRAIN windows of WINDOW tokens.  Learning reads about SAMPLE labelled
+What reaches the driver is bounded: LEXICON words, TRAIN windows of WINDOW tokens and as many sums of whole texts.  Learning reads about SAMPLE labelled
 rows, half of them toxic if there are as many, chosen by a hash of the id; scoring reads every whole text.
 """
 
@@ -26,7 +26,7 @@ from tidemark.llm.common import kept, map_rows, trim
 
 SAMPLE = 40_000  # labelled rows read for learning, about; so few are broadcast by id
 LEXICON = 2_000  # words at most
-TRAIN = 600  # windows of labelled documents for the field and the curve
+TRAIN = 600  # labelled documents for the field, of each a window, and for the curve, whole
 WINDOW = 256  # tokens of a window
 LEVELS = 8  # strengths of a word; 0 is not in the lexicon
 MIN_DOCUMENTS = 4
@@ -34,6 +34,7 @@ MIN_CONTEXTS = 4  # of 63 hash cells
 MIN_ODDS = 1.5
 MIN_EVIDENCE = 16.0  # nats by which a word's share of toxic documents must differ from the sample's
 THRESHOLD = 0.7
+TOGETHER = 1 << 19  # tokens worked side by side, the longest text's for each; a longer text is worked alone
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -200,17 +201,23 @@ class Scorer:
         return [b"".join(map(kept.__getitem__, chunks)) for chunks in cut]
 
     def __call__(self, texts: list[str | None]) -> tuple[list[float], list[np.ndarray | None]]:
-        """Expected toxic tokens of each text, and the marginals of those with a word of the lexicon."""
+        """Expected toxic tokens of each text beyond those of a text as long without a word of the lexicon, so that length alone says
+        nothing; and the marginals of texts that have one.
+        """
         words = self.strengths(texts)
         hit = [i for i, w in enumerate(words) if w.strip(b"\0")]
         marginals: list[np.ndarray | None] = [None] * len(texts)
         hit.sort(key=lambda i: len(words[i]))
-        for start in range(0, len(hit), 16):
+        start = 0
+        while start < len(hit):
             own = hit[start : start + 16]
+            while len(own) > 1 and len(own) * len(words[own[-1]]) > TOGETHER:
+                own = own[: len(own) // 2]
+            start += len(own)
             found = forward_backward([odds(np.frombuffer(words[i], np.uint8).astype(int), self.model) for i in own], self.step)
             for i, m in zip(own, found):
                 marginals[i] = m
-        expected = [self.quiet(len(w)) if m is None else float(m.sum()) for w, m in zip(words, marginals)]
+        expected = [0.0 if m is None else max(0.0, float(m.sum()) - self.quiet(len(w))) for w, m in zip(words, marginals)]
         return expected, marginals
 
     def probability(self, expected: list[float]) -> np.ndarray:
@@ -300,17 +307,23 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     share = min(1.0, TRAIN / 2 / toxic), min(1.0, TRAIN / 2 / clean)
     chosen = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_003)) < F.when(F.col("toxic") == 1, share[0] * 1_000_003).otherwise(share[1] * 1_000_003)
-    taken = map_rows(rows.where(chosen).select("text", "toxic"), window, "toxic int, words binary").collect()
-    rows.unpersist()
+    picked = rows.where(chosen & F.col("text").rlike(r"\p{L}")).select("text", "toxic")
+    taken = map_rows(picked, window, "toxic int, words binary").collect()
     taken = sorted((bytes(r["words"]), r["toxic"]) for r in taken if r["words"])
     windows = [np.frombuffer(w, np.uint8).astype(int) for w, _ in taken]
     tags = [(w > 0).astype(int) * label for w, (_, label) in zip(windows, taken)]
     (own, left, right), step = train_field(windows, tags)
     model = Model(lexicon, own, left, right, step)
-    found = forward_backward([odds(w, model) for w in windows], np.array(step))
-    label = np.array([t for _, t in taken], float)
-    curve = train_curve(np.array([m.sum() for m in found]), label)
-    # The windows hold toxic rows at a higher rate than the labelled rows: set the curve's constant back.
+
+    def expected(part: dict[str, list]) -> dict[str, list]:
+        return {"toxic": part["toxic"], "expected": Scorer(model)(part["text"])[0]}
+
+    # The curve is fitted to what it is applied to: the sums of whole texts.
+    sums = sorted(map(tuple, map_rows(picked, expected, "toxic int, expected double").collect()))
+    rows.unpersist()
+    label = np.array([t for t, _ in sums], float)
+    curve = train_curve(np.array([e for _, e in sums]), label)
+    # The rows picked hold toxic rows at a higher rate than the labelled rows: set the curve's constant back.
     shift = np.log(toxic / drawn[0] / (clean / drawn[1])) - np.log(max(label.sum(), 0.5) / max(label.size - label.sum(), 0.5))
     return Model(lexicon, own, left, right, step, (curve[0] + float(shift), curve[1]))
 
@@ -324,7 +337,7 @@ def hash_cell(before: str, after: str) -> int:
 
 
 def score_column(model: Model, text: str | Column = "text") -> Column:
-    """Probability that a text is toxic; null and empty texts get the curve's value for no token."""
+    """Probability that a text is toxic; null and empty texts get the curve's value for no token, an empty table no rows."""
     shared = model
 
     @F.pandas_udf("double")
@@ -342,7 +355,8 @@ def score_column(model: Model, text: str | Column = "text") -> Column:
 def spans(docs: DataFrame, model: Model, floor: float = 0.5) -> DataFrame:
     """``doc_id, score, spans``: maximal runs of tokens whose toxic marginal is at least ``floor``.
 
-    A span has ``start`` and ``end`` in code points (end exclusive) and the highest marginal in it.
+    A span has ``start`` and ``end`` in code points (end exclusive) and the highest marginal in it.  Null and empty texts have the
+    curve's score for no token and no span; rows that repeat repeat, an empty table gives no rows.
     """
 
     def run(part: dict[str, list]) -> dict[str, list]:
@@ -352,7 +366,7 @@ def spans(docs: DataFrame, model: Model, floor: float = 0.5) -> DataFrame:
         found = []
         for text, m in zip(texts, marginals):
             own: list[dict] = []
-            if m is not None:
+            if m is not None and (m >= floor).any():
                 last = -2
                 # Words of a chunk as for scoring, so that token numbers agree.
                 for n, word in enumerate(w for c in re.finditer(r"\S+", text) for w in _words_in(c)):
