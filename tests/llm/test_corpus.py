@@ -110,6 +110,42 @@ def test_a_chain_of_near_copies_is_one_class(spark):
     assert got == plain_classes(rows)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_sketches_leave_every_linked_pair_open(seed):
+    rng = np.random.default_rng(seed)
+    ruled_out = 0
+    for _ in range(400):
+        n = int(rng.integers(1, 400))
+        pool = rng.integers(0, 2**63, 3 * n + 10).astype(np.uint64)
+        one = np.unique(pool[:n])
+        drop = int(rng.integers(0, n // 3 + 1))
+        other = np.unique(np.concatenate([one[rng.permutation(one.size)[drop:]], pool[n : n + int(rng.integers(0, n // 3 + 1))]]))
+        x, y = (np.frombuffer(jaccard.parities(s), np.uint64) for s in (one, other))
+        words = min(x.size, y.size)
+        may = jaccard.may_link(jaccard.folded(x, words), jaccard.folded(y, words), np.int64(one.size), np.int64(other.size))
+        ruled_out += not may
+        assert may or not jaccard.linked(np.intersect1d(one, other).size, one.size, other.size)
+    assert ruled_out > 50
+
+
+def test_whole_sets_are_read_for_probable_pairs_alone(spark, monkeypatch):
+    """Texts that share a passage are candidates; that most of them do not link is seen without their sets."""
+    rng = random.Random(3)
+    rows = []
+    for group in range(40):
+        passage = " ".join(f"p{group}x{i}" for i in range(60))
+        for part in range(3):
+            own = " ".join(f"w{rng.randrange(10**9)}" for _ in range(120))
+            rows.append((3 * group + part, f"{own} {passage}", "s", 1, "k", 2, 3))
+    rows.append((1000, rows[5][1] + " more", "s", 1, "k", 2, 3))
+    read, candidates = [], []
+    sets, groups = jaccard.needed_sets, jaccard.candidate_groups
+    monkeypatch.setattr(jaccard, "needed_sets", lambda *a: read.append(sets(*a)) or read[-1])
+    monkeypatch.setattr(jaccard, "candidate_groups", lambda *a: candidates.append(groups(*a)) or candidates[-1])
+    assert sorted(tuple(r) for r in jaccard.classes(frame_of(spark, rows)).collect()) == plain_classes(rows)
+    assert candidates[0].count() > 40 and sum(r.count() for r in read) <= 10
+
+
 def test_components(spark, monkeypatch):
     rng = random.Random(1)
     for chunk in (500_000, 25):
