@@ -172,6 +172,33 @@ def test_minimal_keys_of_odd_tables(frame):
         minimal_keys(frame([], schema), columns=["nope"])
 
 
+def test_minimal_keys_read_values_once_and_sketch_columns_alone(spark, frame, monkeypatch):
+    """The source is read for counts and codes only; sets of several columns are refuted by repeats, not by sketches."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import keys
+
+    tried, looked = [], []
+    estimates, unrepeated = keys._estimates, keys._unrepeated
+    monkeypatch.setattr(keys, "SAMPLES", (200, 1000))
+    monkeypatch.setattr(keys, "_estimates", lambda df, sets: tried.extend(sets) or estimates(df, sets))
+    monkeypatch.setattr(keys, "_unrepeated", lambda df, sets, *a: looked.append((len(sets), unrepeated(df, sets, *a))) or looked[-1][1])
+    df = spark.range(6000).coalesce(1).select(
+        *[F.pmod(F.xxhash64("id", F.lit(k)), F.lit(90 + k)).alias(f"c{k}") for k in range(5)], (F.col("id") % 3000).alias("half"),
+        (F.col("id") >= 3000).alias("side"),
+    )
+    got = [r.key_columns for r in minimal_keys(df, 2).collect()]
+    assert got == ["half,side"] and {len(s) for s in tried} == {1}
+    before, left = next((n, out) for n, out in looked if n)
+    assert before >= 2 * len(left)  # a sample refutes most of the sets
+    # Values whose codes would meet if they were rounded or shortened.
+    rows = [(f"0.{'1' * 16}{i:02d}", i, f"2024-01-01 00:00:00.{i:06d}", bytes([i]), f"9999999999999999.{i:02d}") for i in range(60)]
+    odd = frame(rows, "d string, n int, t string, b binary, m string").selectExpr(
+        "cast(d as decimal(18,18)) as `d, 1`", "cast(n as smallint) as n", "cast(t as timestamp) as t", "b", "cast(m as decimal(18,2)) as m"
+    )
+    assert [r.key_columns for r in minimal_keys(odd, 2).collect()] == ["d, 1", "n", "t", "b", "m"]
+
+
 def test_minimal_keys_scan_few_sets(spark, monkeypatch):
     """What the counts of the parts rule out is never looked at; a late repeat is found on all rows."""
     from pyspark.sql import functions as F

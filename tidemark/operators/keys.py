@@ -1,9 +1,10 @@
 """Minimal keys of a table, found level by level without candidates being named.
 
-Sets of columns grow by one column a level.  A set is looked at only if no part of it is a key, and it is dropped without a scan
-when its parts have too few values between them.  For the others one scan a level keeps a distinct-count sketch per set; sets far
-from one value a row are dropped.  What is left is decided on all rows by hashes of 128 bits, after looks at those rows alone whose
-most varied column hashes to zero: rows that are equal in a set are all in or all out, so a repeat there refutes it for little.
+Columns are first written as numbers, so that no later step reads or casts their values again.  Sets of columns grow by one
+column a level.  A set is looked at only if no part of it is a key, and it is dropped without a scan when its columns have too few
+values between them.  The others are looked at for repeats: on samples of bounded size, which refute nearly all sets however large
+the table is, then on those rows alone whose most varied column hashes to zero (rows that are equal in a set are all in or all
+out), in the end on all rows, by hashes of 128 bits.  A repeat anywhere refutes a set for certain.
 """
 
 from __future__ import annotations
@@ -15,9 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.staging import stage
+
 SKETCH_BITS = 12  # 4,096 registers: a standard error of 1.6 %
 MARGIN = 0.1  # six standard errors
 PER_SCAN = 128  # sets that share a scan
+SAMPLES = (1 << 14, 1 << 18)  # rows, about, that a set is tried on first
 LOOKS = (64, 8, 1)  # a set is tried on one of so many values, in the end on all
 
 KEY_SCHEMA = T.StructType(
@@ -43,8 +47,8 @@ def minimal_keys(df: DataFrame, max_columns: int = 3, columns: Sequence[str] | N
     never do.  ``key_columns`` are joined by commas in the table's order.  An empty
     table shows no key, in a table of one row every column without NULL is one.
 
-    A set that is no key is never returned.  A key is missed only where a sketch is
-    off by more than six standard errors.
+    A set that is no key is never returned.  A key is missed only where a column's
+    sketch is off by more than six standard errors.
     """
     if max_columns < 1:
         raise ValueError("a key has at least one column")
@@ -55,10 +59,33 @@ def minimal_keys(df: DataFrame, max_columns: int = 3, columns: Sequence[str] | N
     wanted = set(known if columns is None else columns)
     usable = [f.name for f in df.schema.fields if f.name in wanted and isinstance(f.dataType, KEY_TYPES)]
     rows, usable = _without_nulls(df, usable)
-    found = _search(df, usable, rows, max_columns) if rows else []
+    found = _search(_coded(df, usable), usable, rows, max_columns) if rows and usable else []
     return df.sparkSession.createDataFrame([(",".join(k), len(k), rows) for k in found], KEY_SCHEMA)
 
 
+def _coded(df: DataFrame, names: list[str]) -> DataFrame:
+    """The columns as numbers, equal where the values are: as they are where 64 bits hold them, else two hashes.
+
+    Dealt anew, because a file of one row group is read by one task.
+    """
+    out = []
+    for f in (df.schema[c] for c in names):
+        c = _col(f.name)
+        if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+            out.append(c.cast("long"))
+        elif isinstance(f.dataType, T.DecimalType) and f.dataType.precision <= 18 and 0 <= f.dataType.scale <= 9:
+            # Of a larger scale the product would be rounded.
+            out.append((c * F.lit(10**f.dataType.scale)).cast("long"))
+        elif isinstance(f.dataType, T.TimestampType):
+            out.append(F.unix_micros(c))
+        else:
+            out.append(F.struct(F.xxhash64(F.lit(1), c).alias("one"), F.xxhash64(F.lit(2), c).alias("two")))
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = df.select(*[c.alias(f"c{i}") for i, c in enumerate(out)]).repartition(parts)
+    return stage(rows, "coded").toDF(*names)
+
+
 def _without_nulls(df: DataFrame, names: list[str]) -> tuple[int, list[str]]:
     filled = [F.count(_col(c)).alias(f"c{i}") for i, c in enumerate(names)]
     counts = df.agg(F.count(F.lit(1)).alias("rows"), *filled).first()
@@ -78,12 +105,14 @@ def _search(df: DataFrame, names: list[str], rows: int, max_columns: int) -> lis
         for s in sets:
             most[s] = min(most[s[:i] + s[i + 1 :]] * most.get((c,), float("inf")) for i, c in enumerate(s))
         open_sets = [s for s in sets if most[s] >= rows]
-        estimates = _estimates(df, open_sets)
-        for s, n in estimates.items():
-            most[s] = min(most[s], n / (1 - MARGIN))
         if width == 1:
-            variety = {s[0]: n for s, n in estimates.items()}
-        unique = [s for s in open_sets if estimates[s] >= rows * (1 - MARGIN)]
+            variety = {s[0]: n for s, n in _estimates(df, open_sets).items()}
+            most |= {(c,): n / (1 - MARGIN) for c, n in variety.items()}
+            open_sets = [s for s in open_sets if most[s] >= rows]
+        unique = open_sets
+        for size in SAMPLES:
+            if unique and size < rows:
+                unique = _unrepeated(df.where(F.rand(size) < size / rows), unique, variety, 1)
         for one_of in LOOKS:
             unique = _unrepeated(df, unique, variety, one_of)
         keys += unique
