@@ -4,9 +4,11 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import documents, empty, frame_of, workers_import_the_package  # noqa: F401
 
@@ -71,6 +73,45 @@ def test_words_made_to_meet_have_hashes_of_their_own(spark):
     assert sorted((r.doc_id, r.component_id) for r in jaccard.classes(docs).collect()) == [(1, 1), (2, 2)]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_tokens_are_counted_in_parts(seed):
+    rng = np.random.default_rng(seed)
+    tokens, counts = jaccard._no_counts()
+    seen: Counter = Counter()
+    for _ in range(5):
+        sets = [np.unique(rng.integers(0, 60, rng.integers(0, 30), np.uint64)) for _ in range(rng.integers(0, 6))]
+        seen.update(t for s in sets for t in s.tolist())
+        tokens, counts = jaccard.counted(tokens, counts, sets)
+        assert dict(zip(tokens.tolist(), counts.tolist())) == seen
+        assert (np.diff(tokens.astype(np.int64)) > 0).all()
+
+
+def test_frequent_tokens_are_counted_in_little_memory(spark, monkeypatch):
+    held = {}
+
+    def keep(frame, function, schema):
+        held.setdefault("run", function)
+        return taken(frame, function, schema)
+
+    frame = frame_of(spark)
+    taken = type(frame).mapInArrow
+    monkeypatch.setattr(type(frame), "mapInArrow", keep)
+    jaccard.common_tokens(frame, 1)
+    texts = [" ".join(f"w{i}x{j}" for j in range(500)) for i in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"text": [*texts, " ".join([*(f"w0x{j}" for j in range(500)), "end"])]})
+    tracemalloc.start()
+    out = pa.Table.from_batches(list(held["run"](iter([batch]))))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(out["texts"].to_pylist()) == [2] * 496
+    distinct = 2000 * 496 + 1
+    assert peak < 70 * distinct  # bytes: 89 a token where all were sorted at once, 59 now
+    monkeypatch.setattr(jaccard, "COUNTED", 10_000)
+    monkeypatch.setattr(jaccard, "TOGETHER", 5_000)
+    again = pa.Table.from_batches(list(held["run"](iter([batch.slice(0, 100), batch.slice(2000, 1)]))))
+    assert all(n == 2 for n in again["texts"].to_pylist())
+
+
 def test_thresholds_of_large_sets_are_exact():
     own = np.arange(400_000, dtype=np.uint64)
     at = np.concatenate([own, np.arange(500_000, 600_000, dtype=np.uint64)])  # 400,000 of 500,000

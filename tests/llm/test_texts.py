@@ -53,6 +53,22 @@ def test_bpe_digest_and_rows(spark, library):
     assert whole == {(d, n, c) for d, n, _, c in want}
 
 
+def test_words_are_merged_so_many_at_once(library, monkeypatch):
+    model = bpe.WordBpe(PATH)
+    words = [f"{a}{'tion' * n}{b}" for a in ("na", "sta", "rela") for b in ("s", "al", "ing") for n in range(12)]
+    together = model.encode_chunks(words)
+    monkeypatch.setattr(bpe, "CELLS", 128)
+    merged, taken = [], bpe.WordBpe._merge_batch
+
+    def merge(self, symbols, alive, starts, sizes, size):
+        merged.append(starts.size * size)
+        taken(self, symbols, alive, starts, sizes, size)
+
+    monkeypatch.setattr(bpe.WordBpe, "_merge_batch", merge)
+    assert model.encode_chunks(words) == together
+    assert max(merged) <= 128
+
+
 def test_a_small_cache_changes_nothing(library):
     cache = bpe.Cache(bpe.word_bpe(PATH).encode_chunks, limit=600)
     for text in ("the cat sat", "on the mat and", "the cat again and again"):

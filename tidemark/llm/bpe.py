@@ -25,6 +25,7 @@ from tidemark.llm.common import kept, map_rows, sha256
 
 NONE = np.int64(1) << np.int64(40)
 SHORT = 64  # symbols; longer words have a tree of their own
+CELLS = 1 << 18  # symbols of words worked side by side
 CACHED = 60_000_000  # bytes of chunks a worker keeps
 # Python takes four control characters for white space that the pattern below does not.
 CONTROLS = re.compile("[\x1c-\x1f]")
@@ -112,8 +113,10 @@ class WordBpe:
         while size <= SHORT:
             low = 1 if size == 2 else size // 2
             chosen = np.flatnonzero((sizes > low) & (sizes <= size))
-            if chosen.size:
-                self._merge_batch(symbols, alive, starts[chosen], sizes[chosen], size)
+            step = CELLS // size
+            for a in range(0, chosen.size, step):
+                some = chosen[a : a + step]
+                self._merge_batch(symbols, alive, starts[some], sizes[some], size)
             size *= 2
         for w in np.flatnonzero(sizes > SHORT).tolist():
             self._merge_long(symbols, alive, int(starts[w]), int(sizes[w]))

@@ -114,7 +114,7 @@ def cut(docs: DataFrame, path: str, tokens: int = 2048) -> DataFrame:
     def run(batches):
         part = TaskContext.get().partitionId()
         ranks: dict[int, int] = defaultdict(int)
-        for rows in slices(batches, 1024):
+        for rows in slices(batches, 256):
             texts = [bpe.chunks_of(t) for t in rows["text"]]
             found = _ids(path).prepare(texts)
             out: list[tuple] = []

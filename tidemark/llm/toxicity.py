@@ -17,7 +17,7 @@ import re
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -340,14 +340,15 @@ def score_column(model: Model, text: str | Column = "text") -> Column:
     """Probability that a text is toxic; null and empty texts get the curve's value for no token, an empty table no rows."""
     shared = model
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    # Arrow, not pandas: of a batch only the texts at hand become strings.
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
         scorer = _scorer(shared)
         out = []
         for start in range(0, len(texts), 256):
-            out.append(scorer.probability(scorer(texts.iloc[start : start + 256].tolist())[0]))
+            out.append(scorer.probability(scorer(texts.slice(start, 256).to_pylist())[0]))
         trim()
-        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+        return pa.array(np.concatenate(out) if out else np.zeros(0))
 
     return score(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
