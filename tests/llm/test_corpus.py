@@ -187,6 +187,57 @@ def test_whole_sets_are_read_for_probable_pairs_alone(spark, monkeypatch):
     assert candidates[0].count() > 40 and sum(r.count() for r in read) <= 10
 
 
+def test_texts_are_cut_into_shingles_once(spark, monkeypatch):
+    """One pass over all texts gives sets, sketches and signatures; later ones read what sketches leave open."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(30)), "s", 1, "k", 2, 3) for i in range(50)]
+    rows.append((50, rows[3][1] + " more", "s", 1, "k", 2, 3))
+    whole = []
+    inner = jaccard.map_rows
+    monkeypatch.setattr(jaccard, "map_rows", lambda df, *a, **kw: whole.append("text" in df.columns and df.count() == 51) or inner(df, *a, **kw))
+    assert sorted(tuple(r) for r in jaccard.classes(frame_of(spark, rows)).collect()) == plain_classes(rows)
+    assert sum(whole) == 1
+
+
+def test_signatures_of_many_sets_are_those_of_each():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in [0, 1, 2, 3, 5000, *rng.integers(0, 300, 600).tolist()]]
+    common = np.sort(np.concatenate([s[rng.random(s.size) < rng.random()] for s in sets]))
+    values, owners = jaccard.signatures_of(sets, common)
+    for i, s in enumerate(sets):
+        assert np.array_equal(np.sort(values[owners == i]), np.sort(jaccard.signatures(s, common)))
+    empty = np.zeros(0, np.uint64)
+    assert jaccard.signatures_of([], common)[0].size == jaccard.signatures_of([empty], common)[0].size == 0
+    assert jaccard.set_ids([]) == [] and jaccard.set_ids([empty, sets[3], empty])[::2] == [None, None]
+
+
+def test_chains_of_stars_are_compared_star_by_star(spark, monkeypatch):
+    """Stars that share a set with the next one: pairs grow with the stars and not with the square of the chain."""
+    monkeypatch.setattr(jaccard, "WHOLE", 8)
+    rows = [(10 * i, 10 * i + k, 10 * i, 10 * i + k) for i in range(60) for k in (1, 2, 3, 10)]
+    rows += [(-5, k, -5, k) for k in (-4, -3, -2)]  # a unit of few sets stays whole
+    # Stars that have nearly all sets in common stay together too.
+    rows += [(-100 + i, k, -100 + i, k) for i in range(20) for k in range(-99 + i, -78)]
+    units = jaccard.comparison_units(spark.createDataFrame(rows, "hub bigint, set_id bigint, hub_root bigint, root bigint")).collect()
+    stars: dict[int, set[int]] = {}
+    for unit, set_id, root in units:
+        assert root == set_id
+        stars.setdefault(unit, set()).add(set_id)
+    assert len(units) == len(set(units)) and sum(len(s) ** 2 for s in stars.values()) == 60 * 5**2 + 4**2 + 22**2
+    for hub, set_id, *_ in rows:
+        assert any({hub, set_id} <= s for s in stars.values())
+
+    # Chained passages: in each group two of three texts link, so that its star is left open.
+    rng = random.Random(7)
+    words = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    passages = [words(60) for _ in range(25)]
+    docs = []
+    for i in range(24):
+        body = f"{passages[i]} {words(100)} {passages[i + 1]}"
+        docs += [(2 * i, body, "s", 1, "k", 2, 3), (2 * i + 1, f"{body} more", "s", 1, "k", 2, 3)]
+    monkeypatch.setattr(jaccard, "WHOLE", 1)
+    assert sorted(tuple(r) for r in jaccard.classes(frame_of(spark, docs)).collect()) == plain_classes(docs)
+
+
 def test_components(spark, monkeypatch):
     rng = random.Random(1)
     for chunk in (500_000, 25):
