@@ -216,3 +216,76 @@ def test_minimal_keys_scan_few_sets(spark, monkeypatch):
     # One repeat in 20,000 rows, of the first and last, which agree in "lo" too: no sketch sees it.
     assert [r.key_columns for r in minimal_keys(df, 2).collect()] == ["hi", "mid,nearly"]
     assert ("lo", "mid") not in tried and not any("hi" in s for s in tried if len(s) > 1)
+
+
+def test_minimal_keys_deal_rows_once_a_column(spark, monkeypatch):
+    """What samples leave open is settled by dealing rows by a column, for all sets with it at once, and by no grouping of a set."""
+    from itertools import combinations
+
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import keys
+
+    dealt, tried, grouped = [], [], []
+    unrepeated = keys._unrepeated
+    hashes = keys._unrepeated_hashes
+    monkeypatch.setattr(keys, "SAMPLES", (50, 400))
+    monkeypatch.setattr(keys, "TASK_BYTES", 1 << 14)
+    monkeypatch.setattr(keys, "_unrepeated_hashes", lambda df, sets, *a: grouped.append(sets) or hashes(df, sets, *a))
+
+    def watched(df, sets, *pivot):
+        dealt.extend(pivot[:1])
+        tried.extend(sets)
+        return unrepeated(df, sets, *pivot)
+
+    monkeypatch.setattr(keys, "_unrepeated", watched)
+    n = 6000
+    df = spark.range(n).select(
+        (F.col("id") % (n // 4)).alias("order"), (F.col("id") * 4 / n).cast("int").alias("line"), F.pmod(F.xxhash64("id"), F.lit(900)).alias("part"),
+        F.when(F.col("id") == n - 1, 0).otherwise(F.col("id")).cast("decimal(18,2)").alias("price"), F.lit("x").alias("flag"),
+        (F.col("id") % 1000).cast("string").alias("text"),
+    )
+    data = [tuple(r) for r in df.collect()]
+    expected = []
+    for width in (1, 2, 3):
+        for places in combinations(range(6), width):
+            if not any(set(k) <= set(places) for k in expected) and len({tuple(r[i] for i in places) for r in data}) == n:
+                expected.append(places)
+    assert len(expected) >= 3
+    got = [r.key_columns for r in minimal_keys(df, 3).collect()]
+    assert got == [",".join(df.columns[i] for i in k) for k in expected]
+    assert dealt and len(dealt) <= 4 and not grouped
+    # Every column of the key is too frequent for one task: the whole set is grouped.
+    monkeypatch.setattr(keys, "SAMPLES", (50, 2000))
+    grid = spark.range(4900).select((F.col("id") % 70).alias("a"), (F.col("id") / 70).cast("int").alias("b"), F.lit(1).alias("c"))
+    dealt.clear()
+    assert [r.key_columns for r in minimal_keys(grid, 3).collect()] == ["a,b"]
+    assert grouped and not dealt
+
+
+def test_repeats_of_a_task_are_repeats_of_values():
+    """Equal in one number of two is not equal; a witness refutes every set it agrees in."""
+    import pyarrow as pa
+
+    from tidemark.operators.keys import _repeats
+
+    def bad(columns, sets, spans):
+        batch = pa.RecordBatch.from_pydict({f"n{i}": pa.array(c, pa.int64()) for i, c in enumerate(columns)})
+        halves = [batch.slice(0, 2), batch.slice(2)]
+        return [i for out in _repeats(sets, spans, 1)(iter(halves)) for i in out.column(0).to_pylist()]
+
+    one, two, low = [1, 1, 2, 3, -(2**63), 2**63 - 1], [5, 6, 6, 6, 6, 6], [0, 0, 0, 0, 0, 0]
+    assert bad([one, two, low], [[0], [1], [0, 1]], [2, 1]) == [1]
+    assert bad([one, two, low], [[0], [1], [2], [0, 1], [0, 2], [1, 2], [0, 1, 2]], [1, 1, 1]) == [0, 1, 2, 4, 5]
+    assert bad([one[:1], two[:1]], [[0], [1]], [1, 1]) == []
+    assert list(_repeats([[0]], [1], 1)(iter([]))) == []
+
+
+def test_codes_of_minimal_keys_keep_values_apart(frame):
+    """Times without a zone, dates and decimals are one number each, and no two of them meet."""
+    rows = [(f"2024-01-01 00:00:00.{i:06d}", f"2024-01-{i + 1:02d}", f"{i - 9}.{i:09d}") for i in range(20)]
+    df = frame(rows, "t string, d string, m string").selectExpr(
+        "cast(t as timestamp_ntz) as t", "cast(d as date) as d", "cast(m as decimal(18,9)) as m", "cast(m as decimal(30,9)) as w"
+    )
+    assert [r.key_columns for r in minimal_keys(df, 1).collect()] == ["t", "d", "m", "w"]
+    assert minimal_keys(df.unionAll(df), 3).count() == 0
