@@ -102,6 +102,7 @@ def missing_keys_by_sketch(raw: DataFrame, source: DataFrame, keys: Sequence[str
     wanted = stage(raw.sparkSession.createDataFrame(gone, "_gone long"), "gone")
 
     def chosen(df: DataFrame) -> DataFrame:
-        return df.withColumn("_hash", _hash(keys)).join(wanted, F.col("_hash") == F.col("_gone"), "left_semi").drop("_hash")
+        # No hash is wanted twice.  A semi join would be pushed into a union, where a constant key leaves it nothing to join by.
+        return df.withColumn("_hash", _hash(keys)).join(wanted, F.col("_hash") == F.col("_gone")).drop("_hash", "_gone")
 
     return missing_keys(chosen(raw), chosen(offered), keys)
